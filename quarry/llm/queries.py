@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm.common import table
 
@@ -13,6 +14,14 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.toxicity import toxicity
+
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    found = toxicity(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out, "score", "predicted", "rejected")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.token_counts import count_tokens
 
@@ -25,6 +34,12 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.topk_search import top_k
 
@@ -45,7 +60,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_token_counts, op5_source_mixing, op7_topk_search, op9_token_ids, op10_secret_scan)
+    for f in (op2_toxicity, op4_token_counts, op5_source_mixing, op6_minhash_neardup, op7_topk_search, op9_token_ids, op10_secret_scan)
 }
 
 TOPK_SQL = """
