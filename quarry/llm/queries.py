@@ -14,6 +14,12 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.lm_score import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.toxicity import toxicity
 
@@ -46,6 +52,12 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.decontam import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.token_ids import encode_and_read
 
@@ -60,7 +72,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_toxicity, op4_token_counts, op5_source_mixing, op6_minhash_neardup, op7_topk_search, op9_token_ids, op10_secret_scan)
+    for f in (op1_lm_score, op2_toxicity, op4_token_counts, op5_source_mixing, op6_minhash_neardup, op7_topk_search, op8_decontamination, op9_token_ids, op10_secret_scan)
 }
 
 TOPK_SQL = """
