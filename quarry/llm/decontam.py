@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,13 +18,13 @@ from quarry.llm.common import text_pieces
 from quarry.llm.textnp import NOT_ALNUM, Words, buffers, mix
 
 K1, B = 1.2, 0.75
-#: Share of an item's score against itself that a passage needs to be a candidate.
-LEAST_SCORE = 0.5
 #: Share of the question's and of the answer's shingles that a passage must hold.
 LEAST_OVERLAP = 0.8
 SHINGLE = 5
 #: Postings in a block of a list.
 POSTING_BLOCK = 32
+#: Stretches of items, of similar length each, for which a passage is bounded before its lists are walked.
+STRETCHES, LEAST_STRETCH = 64, 4
 #: Characters of test items in one index; more items are searched in further passes.
 INDEX_CHARS = 16_000_000
 _FILTER_BITS = 20
@@ -36,8 +37,12 @@ def split_item(text: str) -> tuple[str, str]:
     return ("".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (text, text)
 
 
+def _words(column: pa.Array) -> Words:
+    return Words(*buffers(pc.utf8_lower(column)), NOT_ALNUM)
+
+
 def _hashes(texts: list[str]) -> list[np.ndarray]:
-    words = Words(*buffers(pa.array(texts, pa.large_string())), NOT_ALNUM)
+    words = _words(pa.array(texts, pa.large_string()))
     h = words.hashes()
     return [h[a:b] for a, b in zip(words.of_text[:-1], words.of_text[1:], strict=True)]
 
@@ -49,7 +54,7 @@ def _grams(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out + np.uint64(n))
 
 
-@dataclass
+@dataclass(eq=False)
 class _Part:
     """A question or an answer: the length of its shingles (all its words, if those are fewer) and their hashes."""
 
@@ -84,7 +89,7 @@ class ItemIndex:
 
     def __init__(self, ids: list[int], texts: list[str]):
         hashes = _hashes(texts)
-        kept = [k for k, h in enumerate(hashes) if len(h)]
+        kept = sorted((k for k, h in enumerate(hashes) if len(h)), key=lambda k: len(hashes[k]))
         self.ids = [ids[k] for k in kept]
         hashes = [hashes[k] for k in kept]
         halves = [split_item(texts[k]) for k in kept]
@@ -94,12 +99,16 @@ class ItemIndex:
         mean = sum(map(len, hashes)) / max(1, len(hashes))
         seen = Counter(x for h in hashes for x in set(h.tolist()))
         posted: dict[int, tuple[list[int], list[float]]] = {}
+        self.least = 1.0
         for item, h in enumerate(hashes):
             impact = {}
             for x, tf in Counter(h.tolist()).items():
                 idf = float(np.log(1 + (len(hashes) - seen[x] + 0.5) / (seen[x] + 0.5)))
                 impact[x] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(h) / mean))
             own = sum(impact.values())
+            # the most that words outside of LEAST_OVERLAP of the shingles can weigh: no held item scores below `least`
+            lost = {p: int((1 - LEAST_OVERLAP) * len(p.grams) + 1e-9) for p in (self.questions[item], self.answers[item])}
+            self.least = min(self.least, 1 - sum(sorted(impact.values())[-sum(lost.values()) :]) / own if sum(lost.values()) else 1.0)
             for x, v in impact.items():
                 items, impacts = posted.setdefault(x, ([], []))
                 items.append(item)
@@ -107,6 +116,10 @@ class ItemIndex:
         self.terms = np.array(sorted(posted), np.uint64)
         self.lists = [_List(*posted[int(x)]) for x in self.terms]
         self.top = np.array([p.top for p in self.lists])
+        self.stretch = max(LEAST_STRETCH, -(-len(self.ids) // STRETCHES))
+        self.tops = np.zeros((len(self.lists), -(-len(self.ids) // self.stretch)), np.float32)
+        for k, p in enumerate(self.lists):
+            np.maximum.at(self.tops[k], np.array(p.items) // self.stretch, p.impacts)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.terms & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
 
@@ -118,14 +131,14 @@ class ItemIndex:
         real = self.terms[at] == h[place] if len(self.terms) else np.zeros(len(place), bool)
         return place[real], at[real]
 
-    def retrieve(self, terms: list[int], least: float) -> list[tuple[int, float]]:
-        """Block-max WAND: all items whose score for these terms reaches `least`."""
+    def retrieve(self, terms: list[int], least: float, first: int, last: int) -> list[tuple[int, float]]:
+        """Block-max WAND: all items from `first` to before `last` whose score for these terms reaches `least`."""
         lists = [self.lists[t] for t in terms]
         for p in lists:
-            p.at = 0
+            p.at = bisect_left(p.items, first)
         found = []
         while True:
-            lists = [p for p in lists if p.at < len(p.items)]
+            lists = [p for p in lists if p.at < len(p.items) and p.items[p.at] < last]
             lists.sort(key=lambda p: p.items[p.at])
             bound, pivot = 0.0, -1
             for k, p in enumerate(lists):
@@ -158,13 +171,13 @@ class ItemIndex:
             if score >= least - 1e-9:
                 found.append((item, score))
 
-    def leaks(self, raw: np.ndarray, offsets: np.ndarray) -> dict[int, dict[int, tuple[float, float, float]]]:
+    def leaks(self, texts: pa.Array) -> dict[int, dict[int, tuple[float, float, float]]]:
         """text -> item -> (score, overlap of the question, of the answer).
 
         Passages are windows of twice the longest item's words, each half over the next, so that some passage
         holds any place where an item can stand.
         """
-        words = Words(raw, offsets, NOT_ALNUM)
+        words = _words(texts)
         h = words.hashes()
         place, term = self.term_ids(h)
         text = np.searchsorted(words.of_text, place, side="right") - 1
@@ -179,13 +192,16 @@ class ItemIndex:
         begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
         end = np.r_[begin[1:], len(of)]
         bound = np.add.reduceat(self.top[term], begin)  # no item can reach more: without it WAND finds no pivot
-        for k in np.flatnonzero(bound >= LEAST_SCORE - 1e-9).tolist():
-            p = int(of[begin[k]])
-            doc, stretch = p // most, p % most
+        for k in np.flatnonzero(bound >= self.least - 1e-6).tolist():
+            terms = term[begin[k] : end[k]]
+            near = np.flatnonzero(self.tops[terms].sum(axis=0) >= self.least - 1e-4)
+            if not len(near):
+                continue
+            doc, stretch = divmod(int(of[begin[k]]), most)
             first = int(words.of_text[doc])
-            a = first + max(0, stretch - 1 + 0) * self.reach
+            a = first + max(0, stretch - 1) * self.reach
             b = min(int(words.of_text[doc + 1]), first + (stretch + 1) * self.reach)
-            for item, score in self.retrieve(term[begin[k] : end[k]].tolist(), LEAST_SCORE):
+            for item, score in [x for n in near.tolist() for x in self.retrieve(terms.tolist(), self.least, n * self.stretch, (n + 1) * self.stretch)]:
                 q, r = self.questions[item].overlap(h[a:b]), self.answers[item].overlap(h[a:b])
                 if q >= LEAST_OVERLAP and r >= LEAST_OVERLAP:
                     own = out.setdefault(doc, {})
@@ -211,8 +227,8 @@ def _blocks(benchmark: DataFrame) -> Iterator[ItemIndex]:
 def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` with a column `leaks`: the items that a text holds, each with its best score and overlaps; [] for none.
 
-    Words are runs of letters and digits, lower-cased; an item counts as held if one passage reaches LEAST_SCORE
-    of the item's score against itself and holds LEAST_OVERLAP of the 5-word shingles of its question and of its
+    Words are runs of letters and digits, lower-cased; an item counts as held if one passage
+    holds LEAST_OVERLAP of the 5-word shingles of its question and of its
     answer. Null and empty texts hold nothing; null and empty items, and those without words, are held by nothing.
     Equal items are all reported. An existing column `leaks` is replaced. There is no shuffle; an index of at most
     INDEX_CHARS characters goes to the tasks, and a larger benchmark makes further passes.
@@ -227,7 +243,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 before = batch.column("leaks").to_pylist()
                 for a, b in text_pieces(batch, "text"):
-                    for doc, items in index.leaks(*buffers(batch.column("text").slice(a, b - a))).items():
+                    for doc, items in index.leaks(batch.column("text").slice(a, b - a)).items():
                         best: dict[int, tuple] = {}
                         for k, v in items.items():
                             best[index.ids[k]] = max(v, best.get(index.ids[k], v))

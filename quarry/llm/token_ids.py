@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ from quarry.llm.common import id_and_text, shared_dir, text_pieces, written
 
 REMEMBERED = 300_000
 END_ID = 0
+#: Pre-tokens of a space and letters that share a call of the library.
+_JOINED = 2000
 #: The format's schema: one row for each document, rows ascending by doc_id within a shard and over the shards.
 FILE_SCHEMA = "shard int, doc_id long, n_tokens long, control binary, data binary"
 
@@ -25,46 +28,98 @@ FILE_SCHEMA = "shard int, doc_id long, n_tokens long, control binary, data binar
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 
 
-def encode_codes(codes: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data): two bits of length for each code, four codes a control byte; data little-endian."""
-    codes = codes.astype("<u4")
-    n = len(codes)
-    size = (1 + (codes > 0xFF) + (codes > 0xFFFF) + (codes > 0xFFFFFF)).astype(np.uint8)
-    padded = np.zeros(-(-n // 4) * 4, np.uint8)
-    padded[:n] = size - 1
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    kept = np.arange(4, dtype=np.uint8) < size[:, None]
-    return control.tobytes(), codes.view(np.uint8).reshape(n, 4)[kept].tobytes()
+def _control_places(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each code its place among the control pairs, where each document begins a new byte; and the documents' byte offsets."""
+    offsets = np.r_[0, np.cumsum(-(-counts // 4))]
+    ends = np.cumsum(counts)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(4 * offsets[:-1] - (ends - counts), counts), offsets
 
 
-def decode_codes(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The codes again: lengths by table lookup of the control bytes, then a masked scatter of the data bytes."""
-    size = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
+def encode_codes(codes: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """(control, data) of each document: two bits of length for each code, four codes a control byte; data little-endian."""
+    codes = codes.astype("<u4")
+    size = (1 + (codes > 0xFF) + (codes > 0xFFFF) + (codes > 0xFFFFFF)).astype(np.uint8)
+    place, offsets = _control_places(counts)
+    padded = np.zeros(4 * int(offsets[-1]), np.uint8)
+    padded[place] = size - 1
+    p = padded.reshape(-1, 4)
+    control = (p[:, 0] | p[:, 1] << 2 | p[:, 2] << 4 | p[:, 3] << 6).tobytes()
+    data = codes.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < size[:, None]].tobytes()
+    stops = np.r_[0, np.cumsum(size, dtype=np.int64)][np.r_[0, np.cumsum(counts)]].tolist()
+    at = offsets.tolist()
+    return [control[x:y] for x, y in zip(at[:-1], at[1:], strict=True)], [data[x:y] for x, y in zip(stops[:-1], stops[1:], strict=True)]
+
+
+def decode_codes(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """The codes of some documents again: lengths by table lookup of the control bytes, then a masked scatter of the data bytes."""
+    place, _ = _control_places(counts)
+    size = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[place]
+    out = np.zeros((len(place), 4), np.uint8)
     out[np.arange(4, dtype=np.uint8) < size[:, None]] = np.frombuffer(data, np.uint8)
     return out.reshape(-1).view("<u4")
 
 
+def _runs(counts: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Row ranges of `most` codes at most, or of one row."""
+    ends, a = np.cumsum(counts), 0
+    while a < len(counts):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        yield a, b
+        a = b
+
+
+class _Places(dict):
+    """Numbers of pre-tokens; a new one gets the next number and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
+
+
 class _Encoder:
     """Ids of texts; a pre-token goes through the library once and is then looked up."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.vocab, self.tokenizer = vocabulary(path), Tokenizer.from_file(path)
         self._reset()
 
     def _reset(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places()
         self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, fresh: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch(fresh, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        self.place.update(zip(fresh, range(len(self.size), len(self.size) + len(fresh)), strict=True))
-        self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(size) - size]
-        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))]
-        self.size = np.r_[self.size, size]
+    def _learn(self) -> None:
+        """Encode the noted pre-tokens. Those of a space and letters stay apart when joined, so they share calls."""
+        fresh, self.place.fresh = self.place.fresh, []
+        joined = [k for k, w in enumerate(fresh) if w[0] == " " and w[1:].isalpha()]
+        size = np.zeros(len(fresh), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        alone: list[int] = []
+        for a in range(0, len(joined), _JOINED):
+            own = np.array(joined[a : a + _JOINED])
+            e = self.tokenizer.encode("".join([fresh[k] for k in own]), add_special_tokens=False)
+            n = np.bincount(np.array(e.word_ids, np.int64), minlength=len(own))
+            if len(n) != len(own) or not n.all():  # the library knows other letters: one by one
+                alone += own.tolist()
+                continue
+            size[own] = n
+            parts.append((own, np.array(e.ids, np.uint32)))
+        rest = sorted((set(range(len(fresh))) - set(joined)) | set(alone))
+        got = [e.ids for e in self.tokenizer.encode_batch([fresh[k] for k in rest], add_special_tokens=False)]
+        size[rest] = [len(x) for x in got]
+        parts.append((np.array(rest, np.int64), np.fromiter(chain.from_iterable(got), np.uint32)))
+        order = np.concatenate([k for k, _ in parts])
+        begin = np.zeros(len(fresh), np.int64)
+        begin[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
+        self.begin, self.size = np.r_[self.begin, begin], np.r_[self.size, size]
+        self.flat = np.concatenate([self.flat, *(x for _, x in parts)])
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of each text."""
@@ -72,14 +127,12 @@ class _Encoder:
         for text in texts:
             parts = self.vocab.parts(text or "")
             split.append(pre_tokens(parts[0]) if len(parts) == 1 else [w for k, p in enumerate(parts) for w in ([p] if k % 2 else pre_tokens(p))])
-        fresh = list({w for words in split for w in words if w not in self.place})
-        if len(self.place) + len(fresh) > REMEMBERED:
+        if len(self.place) > REMEMBERED:
             self._reset()
-            fresh = list({w for words in split for w in words})
-        if fresh:
-            self._learn(fresh)
         counts = np.fromiter(map(len, split), np.int64, len(split))
         at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if self.place.fresh:
+            self._learn()
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
@@ -143,15 +196,15 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, shards: int |
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            control, data = [], []
-            for n, held in zip(batch.column("n").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                c, d = encode_codes(rank[np.frombuffer(held, "<u2" if len(held) == 2 * n else "<u4")])
-                control.append(c)
-                data.append(d)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(batch.num_rows, shard, np.int32)), batch.column("id"), batch.column("n"), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                ["shard", "doc_id", "n_tokens", "control", "data"],
-            )
+            counts = batch.column("n").to_numpy(zero_copy_only=False)
+            for a, b in _runs(counts):
+                n, held = counts[a:b], batch.column("ids").slice(a, b - a).to_pylist()
+                ids = np.concatenate([np.frombuffer(x, "<u2" if len(x) == 2 * k else "<u4") for x, k in zip(held, n.tolist(), strict=True)])
+                control, data = encode_codes(rank[ids], n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(b - a, shard, np.int32)), batch.column("id").slice(a, b - a), pa.array(n), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                    ["shard", "doc_id", "n_tokens", "control", "data"],
+                )
 
     rows = tokens.where("kind = 0").select("id", "n", "ids").repartitionByRange(parts, "id").sortWithinPartitions("id", "n", "ids")
     rows.mapInArrow(encode, FILE_SCHEMA).write.option("compression", "zstd").parquet(path)
@@ -163,9 +216,13 @@ def read_token_files(spark: SparkSession, path: str, id_of: np.ndarray) -> DataF
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = []
-            for n, control, data in zip(*(batch.column(c).to_pylist() for c in ("n_tokens", "control", "data")), strict=True):
-                sums.append(zlib.crc32(id_of[decode_codes(control, data, n)].astype("<u4").tobytes()))
+            counts, sums = batch.column("n_tokens").to_numpy(zero_copy_only=False), []
+            for a, b in _runs(counts):
+                n = counts[a:b]
+                codes = decode_codes(*(b"".join(batch.column(c).slice(a, b - a).to_pylist()) for c in ("control", "data")), n)
+                held = id_of[codes].astype("<u4").tobytes()
+                stops = np.r_[0, 4 * np.cumsum(n)].tolist()
+                sums += [zlib.crc32(held[x:y]) for x, y in zip(stops[:-1], stops[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("doc_id"), batch.column("n_tokens"), pa.array(sums, pa.int64())], ["shard", "doc_id", "n_tokens", "ids_crc32"])
 
     read = spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(decode, "shard int, doc_id long, n_tokens long, ids_crc32 long")
