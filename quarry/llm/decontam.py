@@ -259,8 +259,22 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that hold no item of the benchmark, with their columns."""
-    return mark_leaks(docs, benchmark).where(F.size("leaks") == 0).select(*docs.columns)
+    """The rows of `docs` that hold no item of the benchmark, with all their columns; see mark_leaks."""
+
+    def keeper(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for a, b in text_pieces(batch, "text"):
+                    keep[[a + k for k in shared.value.leaks(batch.column("text").slice(a, b - a))]] = False
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    out = docs
+    for index in _blocks(benchmark):
+        out = out.mapInArrow(keeper(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
+    return out
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

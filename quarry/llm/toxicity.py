@@ -226,5 +226,20 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return docs.select(*names).mapInArrow(run, schema + ", score double, predicted int, rejected boolean")
 
 
+def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows of `docs` whose score is below the threshold of their language, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            texts, langs = batch.column("text"), batch.column("lang").to_pylist()
+            scores = [sigmoid(model.logits(*word_features(*buffers(texts.slice(a, b - a))))) for a, b in text_pieces(batch, "text", 1 << 18)]
+            least = np.array([model.thresholds.get(x or "", model.thresholds[""]) for x in langs])
+            yield batch.filter(pa.array(np.concatenate([*scores, np.zeros(0)]) < least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score_toxicity(docs, fit(docs, labels))
