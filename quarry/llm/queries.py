@@ -28,6 +28,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "score", "predicted", "rejected")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("kept")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.token_counts import count_tokens
 
@@ -72,7 +78,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_lm_score, op2_toxicity, op4_token_counts, op5_source_mixing, op6_minhash_neardup, op7_topk_search, op8_decontamination, op9_token_ids, op10_secret_scan)
+    for f in (op1_lm_score, op2_toxicity, op3_suffix_dedup, op4_token_counts, op5_source_mixing, op6_minhash_neardup, op7_topk_search, op8_decontamination, op9_token_ids, op10_secret_scan)
 }
 
 TOPK_SQL = """
