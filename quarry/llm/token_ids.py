@@ -6,6 +6,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import pre_tokens, vocabulary
 from quarry.llm.common import id_and_text, shared_dir, text_pieces, written
 
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 END_ID = 0
 #: Pre-tokens of a space and letters that share a call of the library.
 _JOINED = 2000
@@ -142,6 +143,12 @@ class _Encoder:
         return ids, np.diff(sums[of])
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """One encoder for all tasks of a Python worker: what one task has learnt serves the next."""
+    return _Encoder(path)
+
+
 def token_table(docs: DataFrame, vocab_path: str, end_id: int = END_ID) -> DataFrame:
     """Ids of all documents and how often each id occurs, in one table in the shared folder.
 
@@ -150,7 +157,7 @@ def token_table(docs: DataFrame, vocab_path: str, end_id: int = END_ID) -> DataF
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = _Encoder(vocab_path), np.zeros(0, np.int64)
+        encoder, seen = _encoder(vocab_path), np.zeros(0, np.int64)
         schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             for a, b in text_pieces(batch, "text"):
