@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 #: Longest string that one call sorts: three names must fit in a 64-bit key.
-LONGEST = 1 << 20
+LONGEST = 1 << 21
+_21, _22, _42, _43 = (np.uint64(k) for k in (21, 22, 42, 43))
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -18,11 +19,11 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n < 4:
         return np.array(sorted(range(n), key=lambda k: text[k:].tolist()), np.int64)
-    t = np.zeros(n + 3, np.int64)
+    t = np.zeros(n + 3, np.uint64)
     t[:n] = text
     ones, twos = np.arange(1, n, 3), np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
-    names, name = np.unique((t[sample] << 42) | (t[sample + 1] << 21) | t[sample + 2], return_inverse=True)
+    names, name = np.unique((t[sample] << _42) | (t[sample + 1] << _21) | t[sample + 2], return_inverse=True)
     if len(names) == len(sample):
         order = np.empty(len(sample), np.int64)
         order[name] = np.arange(len(sample))
@@ -31,11 +32,11 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         found = suffix_order(joined)
         found = found[found != len(ones)]
         order = np.where(found > len(ones), found - 1, found)
-    rank = np.zeros(n + 3, np.int64)
+    rank = np.zeros(n + 3, np.uint64)
     rank[sample[order]] = np.arange(1, len(sample) + 1)
     zeros = np.arange(0, n, 3)
-    by_one = lambda at: (t[at] << 22) | rank[at + 1]
-    by_two = lambda at: (t[at] << 43) | (t[at + 1] << 22) | rank[at + 2]
+    by_one = lambda at: (t[at] << _22) | rank[at + 1]
+    by_two = lambda at: (t[at] << _43) | (t[at + 1] << _22) | rank[at + 2]
     zeros = zeros[np.argsort(by_one(zeros), kind="stable")]
     sampled = sample[order]
     is_one = sampled % 3 == 1

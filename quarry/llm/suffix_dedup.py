@@ -17,7 +17,9 @@ from quarry.llm.textnp import _power_tables, buffers, mix
 #: Bytes of the strings whose hashes pick anchors.
 GRAM = 32
 #: Text of one anchor's strings that is suffix-sorted in one piece; strings of a larger group are compared by digests instead.
-GROUP_BYTES = LONGEST // 2
+GROUP_BYTES = LONGEST
+#: Text of several anchors that is sorted together.
+BLOCK_BYTES = 1 << 19
 ANCHOR = "doc_id long, row long, anchor long, digest long, first int, n int"
 
 
@@ -122,7 +124,7 @@ def _sorter(length: int):
         def close() -> None:
             nonlocal group, block, size
             new = sum(len(x[-1]) for x in group)
-            if block and size + new > GROUP_BYTES:
+            if block and size + new > BLOCK_BYTES:
                 out.extend(sort(block))
                 block, size = [], 0
             block, size, group = block + group, size + new, []
