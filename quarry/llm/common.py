@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,18 @@ def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of fewer rows for what is materialised inside, so that long texts stay small on both sides of the pipe."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges [a, b) of a batch whose texts hold `most` bytes at most, or one row."""
     sizes = batch.column(column).nbytes

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, id_and_text, text_pieces, written
+from quarry.llm.common import cut, id_and_text, small_batches, text_pieces, written
 from quarry.llm.components import components
 from quarry.llm.textnp import Words, buffers, mix
 
@@ -213,15 +213,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     that; texts move once, for the verification.
     """
     bands, rows = bands_for(percent)
-    sketch = written(id_and_text(docs).mapInArrow(_sketcher(words, bands, rows), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "minhash-sketch")
+    spark = docs.sparkSession
+    with small_batches(spark):
+        sketch = written(id_and_text(docs).mapInArrow(_sketcher(words, bands, rows), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "minhash-sketch")
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     reps = written(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "minhash-sets")
     groups = _groups(reps)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = id_and_text(docs).withColumnRenamed("doc_id", "rep")
     calls = cut(groups).join(texts, "rep").select("kind", "g1", "g2", "g3", "rep", "text")
     calls = calls.repartition(parts, "kind", "g1", "g2", "g3").sortWithinPartitions("kind", "g1", "g2", "g3", "rep")
-    linked = components(calls.mapInArrow(_verifier(words, percent), "a long, b long").distinct(), "a", "b")
+    with small_batches(spark):
+        links = cut(calls.mapInArrow(_verifier(words, percent), "a long, b long"))
+    linked = components(links, "a", "b")
     classes = cut(reps.select("k1", "k2", "rep").join(cut(linked), F.col("rep") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id")))
     own = sketch.select("doc_id", "n_shingles", "k1", "k2")
     alone = F.col("n_shingles") == 0
