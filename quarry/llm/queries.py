@@ -98,4 +98,19 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_topk_search": TOPK_SQL}
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 3 THEN list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS g FROM w
+), e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s
+), p AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS n, count(*) AS i FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (SELECT x, y FROM p WHERE 100 * i >= 85 * (n - i)
+), both_ AS (SELECT x, y FROM l UNION SELECT y, x FROM l
+), reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, b.y FROM reach r JOIN both_ b ON b.x = r.y
+), c AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_minhash_neardup": NEAR_SQL, "op7_topk_search": TOPK_SQL}
