@@ -10,6 +10,8 @@ from itertools import chain
 import numpy as np
 import regex
 
+from quarry.llm.textnp import _power_tables, mix
+
 #: Fixed values of the public byte-level BPE vocabularies: the pattern that splits text before merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same split for texts of Latin characters only, in which the classes of the faster module mean the same.
@@ -23,6 +25,55 @@ def pre_tokens(text: str) -> list[str]:
     return (_ANY if _NOT_LATIN.search(text) else _LATIN).findall(text)
 
 
+#: Classes of Latin characters: letter, digit, other, white space.
+_CLASS = np.array([3 if chr(c).isspace() else 0 if chr(c).isalpha() else 1 if chr(c).isdecimal() else 2 for c in range(0x250)], np.uint8)
+_CONTRACTED = re.compile("'(?:[stmd]|re|ve|ll)")
+
+
+def is_plain(text: str) -> bool:
+    """Whether plain_tokens splits the text as the pattern does: Latin characters, none of the pattern's endings after an apostrophe."""
+    return not (_NOT_LATIN.search(text) or "'" in text and _CONTRACTED.search(text))
+
+
+def plain_tokens(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """Pre-tokens of texts for which is_plain holds: all texts joined, where tokens begin and end in it, and tokens of each text.
+
+    A token is a run of one class. A space before a run of letters, digits or other signs belongs to it; of longer
+    white space before a run the last character stands alone or, if a space, goes with the run.
+    """
+    joined = "".join(texts)
+    points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    n = len(points)
+    stops = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    if not n:
+        return joined, stops[:0], stops[:0], np.zeros(len(texts), np.int64)
+    kind = _CLASS[points]
+    first = np.empty(n, bool)
+    first[0] = True
+    first[1:] = kind[1:] != kind[:-1]
+    inner = stops[stops < n]
+    text_start = np.zeros(n, bool)
+    text_start[0] = True
+    text_start[inner] = True
+    first |= text_start
+    # white space that a run of its text follows: its last character parts from the rest, and a space joins the run
+    run = np.flatnonzero(first[1:] & (kind[1:] != 3) & (kind[:-1] == 3) & ~text_start[1:]) + 1
+    first[run - 1] = True
+    first[run[points[run - 1] == 0x20]] = False
+    begin = np.flatnonzero(first)
+    counts = np.diff(np.r_[0, np.searchsorted(begin, stops)])
+    return joined, begin, np.r_[begin[1:], n], counts
+
+
+def token_hashes(joined: str, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each token."""
+    points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    power, inverse = _power_tables(len(points) + 1)
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * power[: len(points)], out=sums[1:])
+    return mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def byte_symbols() -> dict[int, str]:
     """The printable character that stands for each byte: itself if printable, else the next free one from U+0100."""
     shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]

@@ -15,10 +15,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import pre_tokens, vocabulary
+from quarry.llm.bpe import is_plain, plain_tokens, pre_tokens, token_hashes, vocabulary
 from quarry.llm.common import id_and_text, shared_dir, text_pieces, written
 
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 END_ID = 0
 #: Pre-tokens of a space and letters that share a call of the library.
 _JOINED = 2000
@@ -93,7 +93,7 @@ class _Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.place = _Places()
+        self.place, self.by_hash = _Places(), {}
         self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self) -> None:
@@ -122,25 +122,37 @@ class _Encoder:
         self.begin, self.size = np.r_[self.begin, begin], np.r_[self.size, size]
         self.flat = np.concatenate([self.flat, *(x for _, x in parts)])
 
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pre-tokens of all texts, and how many each text has. Plain texts are split and looked up by hash, once for each distinct token of the call."""
+        plain = [k for k, t in enumerate(texts) if is_plain(t) and not any(x in t for x in self.vocab.special)]
+        joined, begin, end, counts = plain_tokens([texts[k] for k in plain])
+        hashes, where, inverse = np.unique(token_hashes(joined, begin, end), return_index=True, return_inverse=True)
+        numbers = np.fromiter((self.by_hash.get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
+        for k in np.flatnonzero(numbers < 0).tolist():
+            numbers[k] = self.by_hash[int(hashes[k])] = self.place[joined[begin[where[k]] : end[where[k]]]]
+        found = numbers[inverse]
+        if len(plain) == len(texts):
+            return found, counts
+        parts = dict(zip(plain, np.split(found, np.cumsum(counts)[:-1]), strict=True)) if plain else {}
+        for k in sorted(set(range(len(texts))) - set(plain)):
+            pieces = self.vocab.parts(texts[k])
+            words = [w for j, p in enumerate(pieces) for w in ([p] if j % 2 else pre_tokens(p))]
+            parts[k] = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        ordered = [parts[k] for k in range(len(texts))]
+        return np.concatenate(ordered), np.array([len(x) for x in ordered], np.int64)
+
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of each text."""
-        split = []
-        for text in texts:
-            parts = self.vocab.parts(text or "")
-            split.append(pre_tokens(parts[0]) if len(parts) == 1 else [w for k, p in enumerate(parts) for w in ([p] if k % 2 else pre_tokens(p))])
         if len(self.place) > REMEMBERED:
             self._reset()
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        at, counts = self._numbers([t or "" for t in texts])
         if self.place.fresh:
             self._learn()
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(self.begin[at] - (ends - size), size) + np.arange(total)]
-        of = np.r_[0, np.cumsum(counts)]
-        sums = np.r_[0, ends]
-        return ids, np.diff(sums[of])
+        return ids, np.diff(np.r_[0, ends][np.r_[0, np.cumsum(counts)]])
 
 
 @lru_cache(maxsize=1)
