@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from quarry.llm.queries import BYTE_BPE
 from quarry.llm.token_ids import encode_and_read
 from quarry.llm.toxicity import fit, keep_clean
 
+#: Rows of an Arrow batch while the pipeline runs: whole texts stay small on both sides of the pipe to Python.
+BATCH_ROWS = 1000
 #: Near duplicates of the pipeline: shingles of five words, a similarity of 0.8.
 WORDS, PERCENT = 5, 80
 
@@ -47,12 +51,23 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return encode_and_read(docs, BYTE_BPE)
 
 
+def _in_small_batches(stage):
+    """The stage with the session's Arrow batches set to BATCH_ROWS; they stay so, as results are computed later."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", remove_toxic),
-    ("minhash_near_dedup", drop_near_duplicates),
-    ("benchmark_decontamination", remove_benchmark),
-    ("source_mixing", mix),
-    ("token_output", write_tokens),
+    ("toxicity", _in_small_batches(remove_toxic)),
+    ("minhash_near_dedup", _in_small_batches(drop_near_duplicates)),
+    ("benchmark_decontamination", _in_small_batches(remove_benchmark)),
+    ("source_mixing", _in_small_batches(mix)),
+    ("token_output", _in_small_batches(write_tokens)),
 ]
 
 #: The stages train a classifier, verify similarities and encode tokens: not expressible in SQL.

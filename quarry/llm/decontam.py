@@ -234,8 +234,8 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     INDEX_CHARS characters goes to the tasks, and a larger benchmark makes further passes.
     """
     names = [c for c in docs.columns if c != "leaks"]
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    out = docs.select(*names).withColumn("leaks", F.from_json(F.lit("[]"), LEAK))
+    out = docs.select(*(F.col(f"`{c}`") for c in names)).withColumn("leaks", F.from_json(F.lit("[]"), LEAK))
+    schema = out.schema
 
     def marker(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +254,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return run
 
     for index in _blocks(benchmark):
-        out = out.mapInArrow(marker(docs.sparkSession.sparkContext.broadcast(index)), f"{types}, leaks {LEAK}")
+        out = out.mapInArrow(marker(docs.sparkSession.sparkContext.broadcast(index)), schema)
     return out
 
 

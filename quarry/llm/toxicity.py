@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import text_pieces
 from quarry.llm.textnp import NOT_ALNUM, Words, buffers
@@ -222,8 +223,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 [*names, "score", "predicted", "rejected"],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.select(*names).mapInArrow(run, schema + ", score double, predicted int, rejected boolean")
+    kept = docs.select(*(F.col(f"`{c}`") for c in names))
+    added = T.StructType.fromDDL("score double, predicted int, rejected boolean")
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added.fields]))
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
