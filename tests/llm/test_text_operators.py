@@ -144,17 +144,31 @@ def test_words_of_texts(texts):
     assert len(set(seen.values())) == len(seen)
 
 
-def test_lm_prefers_the_language_it_saw(spark):
+def test_network_learns_both_sides():
     rng = np.random.default_rng(1)
-    a, b = [f"wa{k}" for k in range(40)], [f"ob{k}" for k in range(40)]
-    text = lambda words: " ".join(rng.choice(words, 60))
-    texts = [text(a) for _ in range(60)] + [text(b) for _ in range(60)]
-    mixed = [" ".join(x for pair in zip(rng.choice(a, 30), rng.choice(b, 30), strict=True) for x in pair) for _ in range(10)]
-    rows = score_documents(frame(spark, [*texts, *mixed, None, "", "... !"])).collect()
-    mean = {r["doc_id"]: r["mean_log_prob"] for r in rows}
-    assert np.mean([mean[k] for k in range(120)]) > np.mean([mean[k] for k in range(120, 130)])
-    odd = [r for r in rows if r["doc_id"] >= 130]
-    assert all((r["n_tokens"], r["log_prob"], r["mean_log_prob"]) == (0, 0.0, None) for r in odd)
+    ids = np.concatenate([np.r_[rng.choice(64, 40), 64 + rng.choice(64, 40)] for _ in range(150)])
+    of_text = np.arange(0, len(ids) + 1, 40)
+    n = lm_score.KNOWN + lm_score.OTHERS
+    counts = np.ones(n)
+    classes = np.arange(n) % lm_score.CLASSES
+    classes[:128] = np.arange(128) // 2
+    share = np.log(counts / np.bincount(classes, weights=counts)[classes])
+    share[:128] = np.log(0.5)
+    net = lm_score.WindowNetwork(lm_score.Tokens(np.zeros(0, np.uint64), np.zeros(0, np.int64), classes, share))
+    before = net.log_prob(ids, of_text).mean()
+    squares = net.squares()
+    for _ in range(30):
+        net.train(ids, of_text, squares)
+    after = net.log_prob(ids, of_text).mean()
+    mixed = rng.permutation(ids)
+    assert after > before + 0.3 and after > net.log_prob(mixed, of_text).mean() + 0.3
+
+
+def test_lm_rows(spark):
+    rows = score_documents(frame(spark, ["a b c", "a b c", None, "", "... !", "a " * 5000])).collect()
+    found = {r["doc_id"]: r for r in rows}
+    assert found[0]["log_prob"] == found[1]["log_prob"] < 0 and found[0]["n_tokens"] == 3 and found[5]["n_tokens"] == 5000
+    assert all((found[k]["n_tokens"], found[k]["log_prob"], found[k]["mean_log_prob"]) == (0, 0.0, None) for k in (2, 3, 4))
     assert score_documents(frame(spark, [])).count() == 0
 
 
