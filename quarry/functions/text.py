@@ -17,7 +17,8 @@ JSON_MARKERS = (
 #: Fixed value: a line that begins a list item.
 LIST_MARK = r"^\s*(?:[-*•]|\d+[.)])\s+"
 
-_BLANK = r"(?U)^\s+|\s+$"
+#: The characters that count as white space at the ends of texts.
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -31,7 +32,7 @@ def or_empty(c: Column | str) -> Column:
 
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, _BLANK, "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def strip_chars(c: Column, chars: str) -> Column:
@@ -122,11 +123,12 @@ def json_markers(c: Column, keys: tuple[str, ...] = JSON_MARKERS) -> Column:
 def source_format(c: Column) -> Column:
     """editorjs_json, html or plain_text of a raw body."""
     body = strip(or_empty(c))
-    parsed = F.try_parse_json(body)
-    blocks = F.schema_of_variant(F.try_variant_get(parsed, "$.blocks", "variant"))
-    listed = F.coalesce(blocks.startswith("ARRAY"), F.lit(False)) & body.startswith("{")
-    broken = parsed.isNull() & body.startswith("{") & F.substring(body, 1, 4000).rlike(r'(?i)"blocks"\s*:')
-    return F.when(listed | broken, F.lit("editorjs_json")).when(is_html(c), F.lit("html")).otherwise(F.lit("plain_text"))
+    blocks = F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), "$.blocks", "variant"))
+    listed = F.coalesce(blocks.startswith("ARRAY"), F.lit(False))
+    broken = F.try_parse_json(body).isNull() & F.substring(body, 1, 4000).rlike(r'(?i)"blocks"\s*:')
+    # only what begins as an object is parsed
+    editor = F.when(body.startswith("{"), listed | broken).otherwise(False)
+    return F.when(editor, F.lit("editorjs_json")).when(is_html(c), F.lit("html")).otherwise(F.lit("plain_text"))
 
 
 def trim_evidence(c: Column, most: int = 500) -> Column:

@@ -66,6 +66,17 @@ def starts_in(full_text: Column, texts: Column) -> Column:
     return F.aggregate(texts, start, step, lambda s: s["found"])
 
 
+def line_starts(text: Column) -> Column:
+    """Where each line that is not empty begins in a text of trimmed lines: running sums, no search."""
+    start = F.struct(F.lit(0).alias("cursor"), F.array().cast("array<int>").alias("found"))
+
+    def step(state: Column, line: Column) -> Column:
+        found = F.when(line == "", state["found"]).otherwise(F.array_append(state["found"], state["cursor"]))
+        return F.struct((state["cursor"] + F.length(line) + 1).alias("cursor"), found.alias("found"))
+
+    return F.aggregate(F.split(text, "\n"), start, step, lambda s: s["found"])
+
+
 def metrics(blocks: DataFrame) -> DataFrame:
     return blocks.select("doc_id", "block_id", "order", "type", F.length("text").alias("text_length"), "level", F.col("metadata.row_count").alias("row_count"), F.col("metadata.column_count").alias("column_count"), "heading_path")
 

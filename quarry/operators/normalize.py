@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as X
 from quarry.functions.markup import META_DDL, parse_editorjs, parse_html
-from quarry.operators.blocks import block_markdown, starts_in, with_heading_path
+from quarry.operators.blocks import block_markdown, line_starts, starts_in, with_heading_path
 
 LEAST_USEFUL, LEAST_PRESERVED = 0.10, 0.80
 _BLOCKS = f"array<struct<type: string, text: string, html: string, level: int, dom_path: string, metadata: {META_DDL}>>"
@@ -17,20 +17,15 @@ def _plain(text: Column) -> Column:
     """Blocks of plain text: one for each line that is not empty."""
     lines = F.filter(F.split(text, r"\R"), lambda x: X.strip(x) != "")
 
-    def block(line: Column) -> Column:
-        kind = F.when(line.rlike(X.LIST_MARK), F.lit("list_item")).otherwise(F.lit("paragraph"))
-        return F.struct(kind.alias("type"), X.strip(line).alias("text"))
-
+    kind = lambda line: F.when(line.rlike(X.LIST_MARK), F.lit("list_item")).otherwise(F.lit("paragraph"))
     nothing = F.from_json(F.lit("{}"), META_DDL.removeprefix("struct<").removesuffix(">").replace(": ", " "))
-    return F.transform(lines, lambda x: F.struct(block(x)["type"].alias("type"), block(x)["text"].alias("text"), F.lit(None).cast("string").alias("html"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("dom_path"), nothing.alias("metadata"))).cast(_BLOCKS)
+    return F.transform(lines, lambda x: F.struct(kind(x).alias("type"), X.strip(x).alias("text"), F.lit(None).cast("string").alias("html"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("dom_path"), nothing.alias("metadata"))).cast(_BLOCKS)
 
 
 def parsed(docs: DataFrame) -> DataFrame:
     """One row for each document with its format, texts, error and ordered array of blocks. A single scan; no shuffle."""
-    blank = X.strip(X.or_empty("raw_content")) == ""
     base = docs.select("doc_id", "source_row", F.col("name").alias("title"), "content_hash", X.or_empty("raw_content").alias("raw"), F.coalesce("raw_length", F.length("raw_content"), F.lit(0)).alias("raw_length"))
     base = base.withColumn("format", F.when(X.strip(F.col("raw")) == "", "empty").otherwise(X.source_format(F.col("raw"))))
-    del blank
     base = base.withColumn("_h", parse_html(F.when(F.col("format") == "html", F.col("raw")))).withColumn("_e", parse_editorjs(F.when(F.col("format") == "editorjs_json", F.col("raw"))))
     is_html, is_editor = F.col("format") == "html", F.col("format") == "editorjs_json"
     base = base.withColumn("_direct", F.when(is_html, F.col("_h.plain_text")).when(is_editor, F.lit("")).otherwise(X.normalize_lines(F.col("raw"))))
@@ -39,8 +34,10 @@ def parsed(docs: DataFrame) -> DataFrame:
     base = base.withColumn("normalized_text", X.normalize_lines(F.array_join(F.transform("_blocks", lambda b: b["text"]), "\n")))
     base = base.withColumn("plain_text", F.when(is_editor, F.col("normalized_text")).otherwise(F.col("_direct")))
     base = base.withColumn("useful_source", F.when(is_editor, F.col("_e.plain_text")).otherwise(F.col("_direct")))
+    searched = starts_in(F.col("plain_text"), F.transform("_blocks", lambda b: b["text"]))
+    base = base.withColumn("_starts", F.when(own.isNotNull() | is_editor, searched).otherwise(line_starts(F.col("plain_text"))))
     base = base.withColumn("error", F.when(is_editor, F.col("_e.error")).when(is_html, F.col("_h.error")))
-    return base.withColumn("_starts", starts_in(F.col("plain_text"), F.transform("_blocks", lambda b: b["text"]))).drop("_h", "_e", "_direct")
+    return base.drop("raw", "_h", "_e", "_direct")
 
 
 def blocks(done: DataFrame) -> DataFrame:

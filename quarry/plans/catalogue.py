@@ -20,7 +20,6 @@ from quarry.operators import candidates as C
 from quarry.operators.surface import classify, parse_surfaces
 from quarry.plans.base import DOCS_SQL, ENGLISH, LINES_SQL, PARTS_SQL, TURNS_SQL, WORKSHOP, documents, normal_sql, pages, table, tagged_parts, turns
 from quarry.plans.stages import normalise, tag
-from quarry.sources.shared import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -504,14 +503,13 @@ def q53_tag_candidates(spark, sf_dir):
 @query()
 def q54_html_candidates(spark, sf_dir):
     """S00 to S02A over table pages."""
-    normalized, blocks = normalise(pages(spark, sf_dir))
-    return tag(normalized, cut(blocks), ENGLISH).topics.select("doc_id", "topic_unit_count", "candidate_count_total", "facet_only_count", "needs_review", "review_reason")
+    normalized, blocks = normalise(pages(spark, sf_dir), keep=True)
+    return tag(normalized, blocks, ENGLISH).topics.select("doc_id", "topic_unit_count", "candidate_count_total", "facet_only_count", "needs_review", "review_reason")
 
 
 def _tagged(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    normalized, blocks = normalise(docs)
-    return tag(normalized, cut(blocks), ENGLISH)
+    normalized, blocks = normalise(documents(spark, sf_dir), keep=True)
+    return tag(normalized, blocks, ENGLISH)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,9 +35,11 @@ class Tagged:
     topics: DataFrame
 
 
-def normalise(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents_normalized, blocks) of stage S01."""
+def normalise(docs: DataFrame, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(documents_normalized, blocks) of stage S01; `keep` parses once for both, into the shared folder."""
     done = normalize.parsed(docs)
+    if keep:
+        done = cut(done)
     return normalize.documents_normalized(done), normalize.blocks(done)
 
 
@@ -106,7 +108,7 @@ class Project:
             docs = self._chosen(self._read("documents"), doc_id, limit, "source_row")
         except (FileNotFoundError, LookupError) as e:
             return {"status": "failed", "errors": [{"error": "DocIdNotFound" if isinstance(e, LookupError) else "MissingInput", "message": str(e)}]}
-        normalized, blocks = normalise(docs)
+        normalized, blocks = normalise(docs, keep=True)
         for name, table in (("documents_normalized", normalized), ("blocks", blocks)):
             files.write_table(table, self.path(name), name, overwrite=True)
         files.write_table(block_ops.metrics(self._read("blocks")), self.path("block_metrics"), "block_metrics", overwrite=True)
