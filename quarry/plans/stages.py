@@ -21,7 +21,7 @@ S00, S01, S02A = ("documents", "manifest"), ("documents_normalized", "blocks", "
 def documents_from_table(table: DataFrame, key: str, text: str, name: str | None = None) -> DataFrame:
     """Any table with a key and a text as source rows of stage S00."""
     extra = [c for c in table.columns if c not in (key, text, name)]
-    rows = table.select(F.col(key).cast("string").alias("source_id"), (F.col(name) if name else F.lit("")).cast("string").alias("name"), F.lit("").alias("description"), F.col(text).alias("content"), F.col(key).cast("int").alias("source_row"), *extra)
+    rows = table.select(F.col(key).cast("string").alias("source_id"), (F.col(name) if name else F.lit("")).cast("string").alias("name"), F.lit("").alias("description"), F.col(text).alias("content"), F.col(key).try_cast("int").alias("source_row"), *extra)
     return ingest.documents(rows)
 
 
