@@ -201,7 +201,9 @@ def repeated_ranges(docs: DataFrame, length: int = 200, group_bytes: int = GROUP
     """doc_id, row, first, n: ranges of starts in a row's bytes at which a string of `length` bytes begins that begins elsewhere too. `docs` has doc_id, row, text."""
     anchors = written(docs.mapInArrow(_anchors(length), ANCHOR), "repeat-anchors")
     shared = cut(anchors.groupBy("anchor").agg(F.count("*").alias("places")).where("places > 1").select("anchor"))
-    anchors = written(anchors.join(shared, "anchor"), "repeat-shared")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # dealt out anew: rows of one anchor then come from many tasks, so that later joins can split them
+    anchors = written(anchors.join(shared, "anchor").repartition(parts), "repeat-shared")
     # equal digests are equal stretches of text: all their starts repeat, without a look at the text
     one = F.struct("doc_id", "row", "first", "n")
     classes = written(anchors.groupBy("anchor", "digest").agg(F.count("*").alias("count"), F.min(one).alias("one")), "repeat-classes")
@@ -213,7 +215,6 @@ def repeated_ranges(docs: DataFrame, length: int = 200, group_bytes: int = GROUP
     same = docs.alias("d").join(todo.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.row") == F.col("t.row")))
     pieces = same.select("d.doc_id", "d.row", "d.text", "t.ranges").mapInArrow(_cutter(length), "doc_id long, row long, anchor long, large boolean, first int, n int, count long, held binary")
     pieces = written(pieces, "repeat-pieces")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = "doc_id long, row long, first int, n int"
     sorted_ = pieces.where("not large").drop("large").repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_sorter(length), ranges)
     single = written(pieces.where("large").mapInArrow(_digester(length), "doc_id long, row long, first int, count long, digest binary"), "repeat-large")
