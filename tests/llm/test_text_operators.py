@@ -182,6 +182,23 @@ def test_lm_probabilities_sum_to_one():
     assert np.isclose((p[classes] * np.exp(share)).sum(), 1)
 
 
+def test_lm_words_outside_the_known_have_their_own_share(spark):
+    """Texts of one word have one context, so the probabilities of all words add up to one; within a bucket they are as the counts."""
+    import pyarrow as pa
+
+    seen = {f"w{k}": 1 + k % 3 for k in range(3 * lm_score.KNOWN // 2)}
+    rows = score_documents(frame(spark, [w for w, n in seen.items() for _ in range(n)]).coalesce(4)).collect()
+    words = [w for w, n in seen.items() for _ in range(n)]
+    log_prob = {words[r["doc_id"]]: r["log_prob"] for r in rows}
+    assert len(rows) == len(words) and 0.9 < np.exp(list(log_prob.values())).sum() < 1.0001
+    hashes = textnp.Words(*textnp.buffers(pa.array(list(seen)))).hashes()
+    once = {}
+    for w, h in zip(seen, hashes.tolist(), strict=True):
+        if seen[w] == 1:
+            once.setdefault((h >> 40) % lm_score.OTHERS, set()).add(round(log_prob[w], 4))
+    assert all(len(found) == 1 for found in once.values())
+
+
 def test_no_vocabulary_is_copied():
     import pathlib
 
