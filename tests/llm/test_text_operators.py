@@ -199,6 +199,24 @@ def test_lm_words_outside_the_known_have_their_own_share(spark):
     assert all(len(found) == 1 for found in once.values())
 
 
+def test_network_tells_members_of_a_class_apart():
+    """Two words of one class and of equal counts, each in contexts of its own: the context says which, and members still add up to one."""
+    n = lm_score.KNOWN + lm_score.OTHERS
+    classes = np.arange(n) % lm_score.CLASSES
+    share = np.log(1 / np.bincount(classes))[classes]
+    net = lm_score.WindowNetwork(lm_score.Tokens(np.zeros(0, np.uint64), np.zeros(0, np.int64), classes, share))
+    a, b = 7, 7 + lm_score.CLASSES
+    ids, of_text = np.array([1, a, 2, 3, b, 4] * 1000), np.arange(0, 6001, 3)
+    squares = net.squares()
+    for _ in range(20):
+        net.train(ids, of_text, squares)
+    one = np.array([0, 3])
+    right, wrong = (net.log_prob(np.array([1, x, 2]), one)[1] for x in (a, b))
+    assert right > wrong + 1 and net.log_prob(np.array([3, b, 4]), one)[1] > net.log_prob(np.array([3, a, 4]), one)[1] + 1
+    every = np.array([net.log_prob(np.array([1, x, 2]), one)[1] for x in range(n)])
+    assert np.isclose(np.exp(every).sum(), 1, atol=1e-3)
+
+
 def test_no_vocabulary_is_copied():
     import pathlib
 
