@@ -25,6 +25,8 @@ EPOCHS, BATCH, RATE = 6, 64, 0.05
 #: Labelled rows of a language from which it gets a threshold of its own.
 LEAST_FOR_THRESHOLD = 50
 PAD = max(WIDTHS) - 1
+#: Logits are counted in bins of 1/BINS between -MOST_LOGIT and MOST_LOGIT.
+BINS, MOST_LOGIT = 64, 40
 
 
 def word_features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +87,8 @@ def _joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([*texts, np.zeros(0, np.uint64)]), np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None], seed: int = 5) -> ToxicityModel:
-    """Fit on packed features. With one label only, every text gets the smoothed base rate."""
+def train(texts: list[np.ndarray], labels: np.ndarray, counts: tuple[int, int], seed: int = 5) -> ToxicityModel:
+    """Fit on packed features; `counts`: clean and toxic rows that these stand for. With one label only, every text gets the smoothed base rate."""
     rng = np.random.default_rng(seed)
     n_filters = FILTERS * len(WIDTHS)
     filters = np.zeros(((PAD + 1) * DIM, n_filters), np.float32)
@@ -98,7 +100,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None],
     model = ToxicityModel(np.zeros((BUCKETS, DIM), np.float32), filters, np.zeros(n_filters, np.float32), np.full(n_filters, 0.1, np.float32), 0.0, {"": 0.5})
     positive = int(labels.sum())
     if positive in (0, len(labels)):
-        rate = (positive + 0.5) / (len(labels) + 2)
+        rate = (counts[1] + 0.5) / (sum(counts) + 2)
         model.bias = float(np.log(rate / (1 - rate)))
         return model
     # embeddings start as noise, and in their first component as the log odds of a toxic text given the bucket
@@ -112,7 +114,9 @@ def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None],
     model.filters[0, 0] = 1.0
     squares = {name: np.full_like(getattr(model, name), 1e-2) for name in ("embedding", "filters", "filter_bias", "weights")}
     bias_square = 1e-2
-    weight_of = np.where(labels == 1, (len(labels) - positive) / positive, 1.0) ** 0.5
+    # a row weighs as the rows of its label that it stands for, in units of a clean one
+    stands_for = (counts[1] / positive) / (counts[0] / (len(labels) - positive))
+    weight_of = np.where(labels == 1, stands_for * (counts[0] / counts[1]) ** 0.5, 1.0)
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
@@ -150,39 +154,55 @@ def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None],
             np.add.at(step, inverse, np.concatenate(change))
             squares["embedding"][ids] += step**2
             model.embedding[ids] -= RATE * step / np.sqrt(squares["embedding"][ids])
-    _calibrate(model, texts, labels, langs)
     return model
 
 
-def _cut(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the fewest errors, in the middle of the widest such gap."""
-    order = np.argsort(logits)
-    x, y = logits[order], labels[order]
-    wrong = np.r_[0, np.cumsum(y)] + np.r_[np.cumsum((1 - y)[::-1])[::-1], 0]
+def _cut(bins: np.ndarray, labels: np.ndarray, n: np.ndarray) -> float:
+    """The cut with the fewest errors, in the middle of the widest such gap; n rows of each bin and label."""
+    found, where = np.unique(bins, return_inverse=True)
+    toxic, clean = (np.bincount(where, weights=n * (labels == y), minlength=len(found)) for y in (1, 0))
+    x = (found + 0.5) / BINS
+    wrong = np.r_[0, np.cumsum(toxic)] + np.r_[np.cumsum(clean[::-1])[::-1], 0]
     edges = np.r_[x[0] - 2, x, x[-1] + 2]
     gap = np.diff(edges) * (wrong == wrong.min())
     k = int(np.argmax(gap))
     return float((edges[k] + edges[k + 1]) / 2)
 
 
-def _calibrate(model: ToxicityModel, texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None]) -> None:
-    """Moves the bias so that the best cut over all languages is a score of 0.5; then a threshold for each language."""
-    logits = np.concatenate([model.logits(*_joined(texts[k : k + BATCH])) for k in range(0, len(texts), BATCH)])
-    shift = _cut(logits, labels)
+def _calibrate(model: ToxicityModel, docs: DataFrame, usable: DataFrame, folds: int) -> None:
+    """Moves the bias so that the best cut over all usable rows is a score of 0.5; then a threshold for each language."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in text_pieces(batch, "text", 1 << 18):
+                part = batch.slice(a, b - a)
+                logits = shared.value.logits(*word_features(*buffers(part.column("text"))))
+                bins = np.floor(np.clip(logits, -MOST_LOGIT, MOST_LOGIT) * BINS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(bins)], ["doc_id", "lang", "bin"])
+
+    # all texts that may be labelled are scored, so that labels meet narrow rows and no text is shuffled
+    found = _in_folds(docs.select("doc_id", "lang", "text"), folds).mapInArrow(run, "doc_id long, lang string, bin int")
+    rows = found.join(usable, "doc_id").groupBy("lang", "toxic", "bin").agg(F.count("*").alias("n")).collect()
+    langs = np.array([r["lang"] or "" for r in rows], object)
+    bins, labels, n = (np.array([r[c] for r in rows], np.int64) for c in ("bin", "toxic", "n"))
+    shift = _cut(bins, labels, n)
     model.bias -= shift
-    logits -= shift
-    for lang in {x for x in langs if x}:
-        own = np.array([x == lang for x in langs])
-        if own.sum() >= LEAST_FOR_THRESHOLD and 0 < labels[own].sum() < own.sum():
-            model.thresholds[lang] = float(sigmoid(np.array(_cut(logits[own], labels[own]))))
+    for lang in sorted(set(langs) - {""}):
+        own = langs == lang
+        if n[own].sum() >= LEAST_FOR_THRESHOLD and len(set(labels[own])) == 2:
+            model.thresholds[lang] = float(sigmoid(np.array(_cut(bins[own], labels[own], n[own]) - shift)))
+
+
+def _in_folds(rows: DataFrame, folds: int) -> DataFrame:
+    return rows.where(F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % folds != 0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 5) -> ToxicityModel:
-    """Fit on labelled rows whose crc32(doc_id as text) mod `folds` is not 0, MOST_TOXIC and MOST_CLEAN of each label at most."""
+    """Fit on labelled rows whose crc32(doc_id as text) mod `folds` is not 0, MOST_TOXIC and MOST_CLEAN of each label at most; thresholds are those of all such rows."""
     usable = (
-        labels.select(F.col("doc_id").alias("doc_id"), "toxic").where("doc_id is not null and toxic in (0, 1)")
-        .where(F.crc32(F.col("doc_id").cast("string")) % folds != 0)
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+        _in_folds(labels.select(F.col("doc_id").alias("doc_id"), "toxic").where("toxic in (0, 1)"), folds)
+        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         .withColumn("order", F.xxhash64(F.lit(seed), "doc_id"))
     )
     chosen = usable.where("toxic = 1").orderBy("order", "doc_id").limit(MOST_TOXIC).union(usable.where("toxic = 0").orderBy("order", "doc_id").limit(MOST_CLEAN))
@@ -199,7 +219,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 5) -> To
     # at most MOST_TOXIC + MOST_CLEAN narrow rows
     sample = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), "doc_id").select("doc_id", "lang", "toxic", "text")
     rows = sorted(sample.mapInArrow(features, "doc_id long, lang string, toxic int, words binary").collect(), key=lambda r: (r["doc_id"], r["words"]))
-    return train([np.frombuffer(r["words"], np.uint64) for r in rows], np.array([r["toxic"] for r in rows], np.int64), [r["lang"] for r in rows], seed)
+    n = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(usable, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sampled = np.array([r["toxic"] for r in rows], np.int64)
+    model = train([np.frombuffer(r["words"], np.uint64) for r in rows], sampled, (n.get(0, 0), n.get(1, 0)), seed)
+    if len(set(sampled.tolist())) == 2:
+        _calibrate(model, docs, usable.select("doc_id", "toxic"), folds)
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:

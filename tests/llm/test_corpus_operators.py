@@ -250,6 +250,17 @@ def test_toxicity_without_labels(spark):
     assert toxicity.toxicity(docs.limit(0), none).count() == 0
 
 
+def test_thresholds_are_those_of_all_labelled_rows(spark, monkeypatch):
+    """Texts that are clean two times in three stay clean, though toxic rows are as many as clean ones in the sample."""
+    monkeypatch.setattr(toxicity, "MOST_TOXIC", 40)
+    monkeypatch.setattr(toxicity, "MOST_CLEAN", 40)
+    kinds = [("good kind words", 0)] * 600 + [("grey mixed lines", 0)] * 80 + [("grey mixed lines", 1)] * 40 + [("bad foul speech", 1)] * 40
+    docs = frame(spark, [t for t, _ in kinds])
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(kinds)], "doc_id long, toxic int")
+    found = {(kinds[r["doc_id"]][0], r["predicted"], r["rejected"]) for r in toxicity.toxicity(docs, labels).collect()}
+    assert found == {("good kind words", 0, False), ("grey mixed lines", 0, False), ("bad foul speech", 1, True)}
+
+
 def test_pipeline_stages(spark, tmp_path):
     texts, labels = toxic_corpus()
     rng = random.Random(1)
