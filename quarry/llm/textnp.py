@@ -54,6 +54,7 @@ class Words:
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE, lower: bool = True):
         self.raw = LOWER[raw] if lower else raw
+        self._held = None
         inside = ~separators[raw]
         before, after = np.empty_like(inside), np.empty_like(inside)
         before[1:], after[:-1] = inside[:-1], inside[1:]
@@ -66,19 +67,23 @@ class Words:
         self.end = np.flatnonzero(inside & ~after) + 1
         self.of_text = np.searchsorted(self.start, offsets)  # len(texts) + 1 offsets into the words
 
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        if self._held is None:
+            n = len(self.raw)
+            power, inverse = _power_tables(n + 1)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
+            self._held = sums, inverse
+        return self._held
+
+    def _hashes_to(self, end: np.ndarray) -> np.ndarray:
+        sums, inverse = self._sums()
+        found = (sums[end] - sums[self.start]) * inverse[self.start]
+        return mix(found + (end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
     def hashes(self) -> np.ndarray:
-        n = len(self.raw)
-        power, inverse = _power_tables(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-        found = (sums[self.end] - sums[self.start]) * inverse[self.start]
-        return mix(found + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return self._hashes_to(self.end)
 
     def prefix_hashes(self, n: int) -> np.ndarray:
         """Hashes of the first n bytes of each word, or of all of a shorter one."""
-        keep = self.end
-        self.end = np.minimum(keep, self.start + n)
-        try:
-            return self.hashes()
-        finally:
-            self.end = keep
+        return self._hashes_to(np.minimum(self.end, self.start + n))
