@@ -11,19 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import text_pieces
+from quarry.llm.common import text_pieces, written
 from quarry.llm.textnp import NOT_ALNUM, Words, buffers
 
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 DIM = 8
-FILTERS = 8
+FILTERS = 16
 WIDTHS = (1, 2, 3)
-#: Labelled rows that the classifier is fitted on, at most, of each label; chosen by a seeded hash.
+#: Labelled rows that the classifier is fitted on, at most, of each label, and their words; chosen by a seeded hash.
 MOST_TOXIC, MOST_CLEAN = 3000, 6000
-EPOCHS, BATCH, RATE = 6, 64, 0.05
-#: Labelled rows of a language from which it gets a threshold of its own.
-LEAST_FOR_THRESHOLD = 50
+MOST_TOXIC_WORDS, MOST_CLEAN_WORDS = 2_000_000, 4_000_000
+EPOCHS, BATCH, RATE = 12, 64, 0.03
+#: The fold whose labelled rows set the cut and the thresholds; the network is not trained on it.
+CALIBRATION = 1
+#: Labelled rows of a language in that fold, and toxic ones among them, from which it gets a threshold of its own.
+LEAST_FOR_THRESHOLD, LEAST_TOXIC = 100, 10
 PAD = max(WIDTHS) - 1
 #: Logits are counted in bins of 1/BINS between -MOST_LOGIT and MOST_LOGIT.
 BINS, MOST_LOGIT = 64, 40
@@ -87,73 +90,70 @@ def _joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([*texts, np.zeros(0, np.uint64)]), np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, counts: tuple[int, int], seed: int = 5) -> ToxicityModel:
-    """Fit on packed features; `counts`: clean and toxic rows that these stand for. With one label only, every text gets the smoothed base rate."""
+def train(texts: list[np.ndarray], labels: np.ndarray, counts: tuple[int, int], seed: int = 5, epochs: int = EPOCHS) -> ToxicityModel:
+    """Fit on packed features from a random start; `counts`: clean and toxic rows that these stand for.
+
+    With one label only there is nothing to learn: every text gets the smoothed base rate, and stays below 0.5.
+    """
     rng = np.random.default_rng(seed)
     n_filters = FILTERS * len(WIDTHS)
     filters = np.zeros(((PAD + 1) * DIM, n_filters), np.float32)
-    for k, width in enumerate(WIDTHS):
-        filters[: width * DIM, k * FILTERS : (k + 1) * FILTERS] = rng.normal(0, 0.3, (width * DIM, FILTERS))
     mask = np.zeros_like(filters)
     for k, width in enumerate(WIDTHS):
+        filters[: width * DIM, k * FILTERS : (k + 1) * FILTERS] = rng.normal(0, 0.3, (width * DIM, FILTERS))
         mask[: width * DIM, k * FILTERS : (k + 1) * FILTERS] = 1
-    model = ToxicityModel(np.zeros((BUCKETS, DIM), np.float32), filters, np.zeros(n_filters, np.float32), np.full(n_filters, 0.1, np.float32), 0.0, {"": 0.5})
+    weights = np.where(np.arange(n_filters) % 2, 0.3, -0.3).astype(np.float32)
+    model = ToxicityModel(np.zeros((BUCKETS, DIM), np.float32), filters, np.zeros(n_filters, np.float32), weights, 0.0, {"": 0.5})
     positive = int(labels.sum())
     if positive in (0, len(labels)):
-        rate = (counts[1] + 0.5) / (sum(counts) + 2)
+        rate = min((counts[1] + 0.5) / (sum(counts) + 2), 0.49)
+        model.weights[:] = 0
         model.bias = float(np.log(rate / (1 - rate)))
         return model
-    # embeddings start as noise, and in their first component as the log odds of a toxic text given the bucket
-    hits = np.zeros((2, BUCKETS), np.float32)
-    for packed, y in zip(texts, labels, strict=True):
-        hits[int(y), np.unique(_unpack(packed).ravel())] += 1
-    seen = hits.sum(axis=0) > 0
-    odds = np.log((hits[1] + 0.5) / (positive + 1)) - np.log((hits[0] + 0.5) / (len(labels) - positive + 1))
-    model.embedding[seen] = rng.normal(0, 0.02, (int(seen.sum()), DIM))
-    model.embedding[:, 0] += np.where(seen, np.clip(odds, -3, 3) * np.minimum(1, hits.sum(axis=0) / 8) / 3, 0)
-    model.filters[0, 0] = 1.0
+    model.embedding[...] = rng.normal(0, 0.02, model.embedding.shape)
     squares = {name: np.full_like(getattr(model, name), 1e-2) for name in ("embedding", "filters", "filter_bias", "weights")}
     bias_square = 1e-2
     # a row weighs as the rows of its label that it stands for, in units of a clean one
     stands_for = (counts[1] / positive) / (counts[0] / (len(labels) - positive))
     weight_of = np.where(labels == 1, stands_for * (counts[0] / counts[1]) ** 0.5, 1.0)
-    for _ in range(EPOCHS):
+
+    def descend(name: str, step: np.ndarray, at=...) -> None:
+        squares[name][at] += step * step
+        getattr(model, name)[at] -= RATE * step / np.sqrt(squares[name][at])
+
+    for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
             packed, offsets = _joined([texts[k] for k in chosen])
             z, starts, wide = model.windows(packed, offsets)
-            pooled = np.maximum.reduceat(z, starts, axis=0)
-            size = np.diff(np.r_[starts, len(z)])
-            where = np.where(z == np.repeat(pooled, size, axis=0), np.arange(len(z))[:, None], len(z))
-            best = np.minimum.reduceat(where, starts, axis=0)
-            error = (sigmoid(pooled @ model.weights + model.bias) - labels[chosen]) * weight_of[chosen] / len(chosen)
+            edges = [*starts.tolist(), len(z)]
+            best = np.stack([a + z[a:b].argmax(axis=0) for a, b in zip(edges[:-1], edges[1:], strict=True)])  # (texts, filters)
+            pooled = z[best, np.arange(n_filters)]
+            error = ((sigmoid(pooled @ model.weights + model.bias) - labels[chosen]) * weight_of[chosen] / len(chosen)).astype(np.float32)
             d_pool = (error[:, None] * model.weights) * (pooled > 0)
-            rows = best.ravel()
-            d_filters = np.zeros_like(model.filters)
-            d_wide = np.zeros((len(rows), wide.shape[1]), np.float32)
-            f = np.tile(np.arange(n_filters), len(chosen))
-            np.add.at(d_filters.T, f, wide[rows] * d_pool.ravel()[:, None])
-            d_wide += model.filters.T[f] * d_pool.ravel()[:, None]
-            buckets = np.zeros((len(z) + PAD, 3), np.int64)
-            real = np.zeros(len(z) + PAD, bool)
-            place = np.arange(offsets[-1]) + PAD * np.repeat(np.arange(len(chosen)), np.diff(offsets))
-            buckets[place], real[place] = _unpack(packed), True
-            for name, step in (("weights", (error @ pooled).astype(np.float32)), ("filters", d_filters * mask), ("filter_bias", d_pool.sum(axis=0))):
-                squares[name] += step**2
-                setattr(model, name, (getattr(model, name) - RATE * step / np.sqrt(squares[name])).astype(np.float32))
-            bias_square += error.sum() ** 2
-            model.bias -= RATE * error.sum() / bias_square**0.5
+            d_filters = np.einsum("tf,tfw->wf", d_pool, wide[best]) * mask
+            text, f = np.nonzero(d_pool)
+            d_wide = model.filters.T[f] * d_pool[text, f][:, None]
+            descend("weights", error @ pooled)
+            descend("filters", d_filters)
+            descend("filter_bias", d_pool.sum(axis=0))
+            bias_square += float(error.sum()) ** 2
+            model.bias -= RATE * float(error.sum()) / bias_square**0.5
+            # the words under the best windows: places within a text, less the empty ones at its end
             touched, change = [], []
+            buckets = _unpack(packed)
             for k in range(PAD + 1):
-                ok = real[rows + k]
-                touched.append(buckets[rows[ok] + k])
-                change.append(np.repeat(d_wide[ok, k * DIM : (k + 1) * DIM], 3, axis=0))
-            ids, inverse = np.unique(np.concatenate(touched).ravel(), return_inverse=True)
-            step = np.zeros((len(ids), DIM), np.float32)
-            np.add.at(step, inverse, np.concatenate(change))
-            squares["embedding"][ids] += step**2
-            model.embedding[ids] -= RATE * step / np.sqrt(squares["embedding"][ids])
+                place = best[text, f] + k - starts[text]
+                real = place < np.diff(offsets)[text]
+                touched.append(buckets[offsets[:-1][text[real]] + place[real]].ravel())
+                change.append(np.repeat(d_wide[real, k * DIM : (k + 1) * DIM], 3, axis=0))
+            touched, change = np.concatenate(touched), np.concatenate(change)
+            if len(touched):
+                by_bucket = np.argsort(touched, kind="stable")
+                touched = touched[by_bucket]
+                begin = np.flatnonzero(np.r_[True, touched[1:] != touched[:-1]])
+                descend("embedding", np.add.reduceat(change[by_bucket], begin), touched[begin])
     return model
 
 
@@ -169,8 +169,13 @@ def _cut(bins: np.ndarray, labels: np.ndarray, n: np.ndarray) -> float:
     return float((edges[k] + edges[k + 1]) / 2)
 
 
+def _fold(folds: int):
+    """crc32 of the doc_id as text, modulo `folds`; null for a null doc_id."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
 def _calibrate(model: ToxicityModel, docs: DataFrame, usable: DataFrame, folds: int) -> None:
-    """Moves the bias so that the best cut over all usable rows is a score of 0.5; then a threshold for each language."""
+    """Moves the bias so that the best cut over all labelled rows of fold CALIBRATION is a score of 0.5; then a threshold for each language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,30 +187,22 @@ def _calibrate(model: ToxicityModel, docs: DataFrame, usable: DataFrame, folds:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(bins)], ["doc_id", "lang", "bin"])
 
     # all texts that may be labelled are scored, so that labels meet narrow rows and no text is shuffled
-    found = _in_folds(docs.select("doc_id", "lang", "text"), folds).mapInArrow(run, "doc_id long, lang string, bin int")
+    found = docs.select("doc_id", "lang", "text").where(_fold(folds) == CALIBRATION).mapInArrow(run, "doc_id long, lang string, bin int")
     rows = found.join(usable, "doc_id").groupBy("lang", "toxic", "bin").agg(F.count("*").alias("n")).collect()
     langs = np.array([r["lang"] or "" for r in rows], object)
     bins, labels, n = (np.array([r[c] for r in rows], np.int64) for c in ("bin", "toxic", "n"))
+    if len(set(labels.tolist())) < 2:
+        return
     shift = _cut(bins, labels, n)
     model.bias -= shift
     for lang in sorted(set(langs) - {""}):
         own = langs == lang
-        if n[own].sum() >= LEAST_FOR_THRESHOLD and len(set(labels[own])) == 2:
+        if n[own].sum() >= LEAST_FOR_THRESHOLD and LEAST_TOXIC <= n[own & (labels == 1)].sum() < n[own].sum():
             model.thresholds[lang] = float(sigmoid(np.array(_cut(bins[own], labels[own], n[own]) - shift)))
 
 
-def _in_folds(rows: DataFrame, folds: int) -> DataFrame:
-    return rows.where(F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % folds != 0))
-
-
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 5) -> ToxicityModel:
-    """Fit on labelled rows whose crc32(doc_id as text) mod `folds` is not 0, MOST_TOXIC and MOST_CLEAN of each label at most; thresholds are those of all such rows."""
-    usable = (
-        _in_folds(labels.select(F.col("doc_id").alias("doc_id"), "toxic").where("toxic in (0, 1)"), folds)
-        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-        .withColumn("order", F.xxhash64(F.lit(seed), "doc_id"))
-    )
-    chosen = usable.where("toxic = 1").orderBy("order", "doc_id").limit(MOST_TOXIC).union(usable.where("toxic = 0").orderBy("order", "doc_id").limit(MOST_CLEAN))
+def _sample(docs: DataFrame, usable: DataFrame, seed: int) -> list:
+    """Rows (doc_id, toxic, words) to train on: MOST_TOXIC and MOST_CLEAN of each label at most, and of no more words than stated, in the order of a seeded hash. A doc_id that stands several times gives one row."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,24 +211,47 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 5) -> To
                 packed, offsets = word_features(*buffers(part.column("text")))
                 held = packed.tobytes()
                 rows = [held[s * 8 : e * 8] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), part.column("toxic"), pa.array(rows, pa.binary())], ["doc_id", "lang", "toxic", "words"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), part.column("order"), pa.array(np.diff(offsets)), pa.array(rows, pa.binary())], ["doc_id", "toxic", "order", "n", "words"])
 
+    usable = usable.withColumn("order", F.xxhash64(F.lit(seed), "doc_id"))
+    chosen = usable.where("toxic = 1").orderBy("order", "doc_id").limit(MOST_TOXIC).union(usable.where("toxic = 0").orderBy("order", "doc_id").limit(MOST_CLEAN))
     # at most MOST_TOXIC + MOST_CLEAN narrow rows
-    sample = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), "doc_id").select("doc_id", "lang", "toxic", "text")
-    rows = sorted(sample.mapInArrow(features, "doc_id long, lang string, toxic int, words binary").collect(), key=lambda r: (r["doc_id"], r["words"]))
-    n = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(usable, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "order").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = written(texts.select("doc_id", "toxic", "order", "text").mapInArrow(features, "doc_id long, toxic int, order long, n long, words binary"), "toxicity-sample")
+    sizes = sorted(rows.select("toxic", "order", "doc_id", "n").collect())
+    held, left = [], {1: MOST_TOXIC_WORDS, 0: MOST_CLEAN_WORDS}
+    for r in sizes:
+        if r["n"] <= left[r["toxic"]]:
+            left[r["toxic"]] -= r["n"]
+            held.append((r["doc_id"],))
+    ids = docs.sparkSession.createDataFrame(held, "doc_id long")
+    return sorted(rows.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "words").collect(), key=lambda r: r["doc_id"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 5, epochs: int = EPOCHS) -> ToxicityModel:
+    """Fit on labelled rows whose crc32(doc_id as text) mod `folds` is neither 0 nor CALIBRATION; see _sample for how many.
+
+    The cut and the thresholds come from all labelled rows of fold CALIBRATION, which the network has not seen. Of labels
+    that contradict each other the toxic one counts; labels that are null or neither 0 nor 1 count as absent.
+    """
+    known = labels.select(F.col("doc_id").alias("doc_id"), "toxic").where("toxic in (0, 1)").where(_fold(folds) != 0)
+    usable = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    training = usable.where(_fold(folds) != CALIBRATION)
+    rows = _sample(docs, training, seed)
+    n = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(training, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     sampled = np.array([r["toxic"] for r in rows], np.int64)
-    model = train([np.frombuffer(r["words"], np.uint64) for r in rows], sampled, (n.get(0, 0), n.get(1, 0)), seed)
+    model = train([np.frombuffer(r["words"], np.uint64) for r in rows], sampled, (n.get(0, 0), n.get(1, 0)), seed, epochs)
     if len(set(sampled.tolist())) == 2:
-        _calibrate(model, docs, usable.select("doc_id", "toxic"), folds)
+        _calibrate(model, docs, usable, folds)
     return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The columns of `docs` with score (0 to 1, of the text alone), predicted (1 if score >= 0.5) and rejected (score >= its language's threshold).
 
-    Null and empty texts get the score of a text without words. Languages that are null or had few labels share
-    the threshold 0.5. Every row gets a result, repeated rows the same; columns named as the results are replaced.
+    Null and empty texts get the score of a text without words. Texts of any length are scored whole. Languages that
+    are null or had few labels share the threshold 0.5. Every row gets a result, repeated rows and doc_ids each their
+    own; columns named as the results are replaced, others stay. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = "text"
@@ -254,7 +274,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """The rows of `docs` whose score is below the threshold of their language, with all their columns."""
+    """The rows of `docs` whose score is below the threshold of their language, with all their columns; see score_toxicity.
+
+    Texts without words are scored as such, so they stay unless the labels speak against them. Repeated rows fare alike.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
