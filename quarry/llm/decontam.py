@@ -9,12 +9,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_pieces
+from quarry.llm.common import text_pieces, written
 from quarry.llm.textnp import NOT_ALNUM, Words, buffers, mix
 
 K1, B = 1.2, 0.75
@@ -72,6 +73,20 @@ class _Part:
         return float(np.isin(self.grams, _grams(passage, self.length)).mean())
 
 
+@dataclass
+class Statistics:
+    """Of all items with words, whatever part of them an index holds: how many, their mean length, and how many hold each word."""
+
+    n: int
+    mean: float
+    holding: dict[int, int]
+
+    @classmethod
+    def of(cls, hashes: list[np.ndarray]) -> Statistics:
+        sizes = [len(h) for h in hashes if len(h)]
+        return cls(len(sizes), sum(sizes) / max(1, len(sizes)), Counter(x for h in hashes for x in set(h.tolist())))
+
+
 class _List:
     """Postings of a term, ascending by item, with the largest impact of each block and of all."""
 
@@ -87,8 +102,9 @@ class _List:
 class ItemIndex:
     """Impacts are BM25 terms over the item's score against itself, so that a passage with all its terms scores 1."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], statistics: Statistics | None = None):
         hashes = _hashes(texts)
+        all_items = statistics or Statistics.of(hashes)
         kept = sorted((k for k, h in enumerate(hashes) if len(h)), key=lambda k: len(hashes[k]))
         self.ids = [ids[k] for k in kept]
         hashes = [hashes[k] for k in kept]
@@ -96,15 +112,14 @@ class ItemIndex:
         self.questions = [_Part.of(h) for h in _hashes([q for q, _ in halves])]
         self.answers = [_Part.of(h) for h in _hashes([a for _, a in halves])]
         self.reach = max(map(len, hashes), default=1)
-        mean = sum(map(len, hashes)) / max(1, len(hashes))
-        seen = Counter(x for h in hashes for x in set(h.tolist()))
         posted: dict[int, tuple[list[int], list[float]]] = {}
         self.least = 1.0
         for item, h in enumerate(hashes):
             impact = {}
             for x, tf in Counter(h.tolist()).items():
-                idf = float(np.log(1 + (len(hashes) - seen[x] + 0.5) / (seen[x] + 0.5)))
-                impact[x] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(h) / mean))
+                seen = all_items.holding[x]
+                idf = float(np.log(1 + (all_items.n - seen + 0.5) / (seen + 0.5)))
+                impact[x] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(h) / all_items.mean))
             own = sum(impact.values())
             # the most that words outside of LEAST_OVERLAP of the shingles can weigh: no held item scores below `least`
             lost = {p: int((1 - LEAST_OVERLAP) * len(p.grams) + 1e-9) for p in (self.questions[item], self.answers[item])}
@@ -213,15 +228,41 @@ LEAK = "array<struct<item_id: bigint, score: double, question_overlap: double, a
 _LEAK_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[ItemIndex]:
+def _words_of_items(items: DataFrame) -> DataFrame:
+    """(word, items, n): how many items hold each word; under a null word, how many items have words, and their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [h for h in _hashes(batch.column("text").to_pylist()) if len(h)]
+            found = Statistics.of(hashes)
+            words = np.fromiter(found.holding, np.uint64, len(found.holding)).view(np.int64)
+            held = [*found.holding.values(), found.n]
+            yield pa.RecordBatch.from_arrays([pa.array([*words.tolist(), None], pa.int64()), pa.array(held, pa.int64()), pa.array([0] * len(words) + [sum(map(len, hashes))], pa.int64())], ["word", "items", "n"])
+
+    return items.select("text").mapInArrow(run, "word long, items long, n long").groupBy("word").agg(F.sum("items").alias("items"), F.sum("n").alias("n"))
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[ItemIndex, bool]]:
+    """Indexes of INDEX_CHARS characters at most, each with the statistics of all items, and whether it is the only one."""
+    spark = benchmark.sparkSession
     items = benchmark.select("item_id", "text").where("item_id is not null and length(text) > 0")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // INDEX_CHARS)
+    if not n:
+        return
+    counts = written(_words_of_items(items), "benchmark-words")
+    every = counts.where("word is null").first()
     for k in range(n):
         rows = sorted(items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect(), key=lambda r: (r["item_id"], r["text"]))
-        index = ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows])
+        texts = [r["text"] for r in rows]
+        own = np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(texts)])).view(np.int64)
+        mine = counts.where("word is not null")
+        if n > 1:  # only the words of this block come to the driver
+            mine = mine.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"word": own}))), "word")
+        holding = {r["word"] % (1 << 64): r["items"] for r in mine.collect()}
+        index = ItemIndex([r["item_id"] for r in rows], texts, Statistics(every["items"], every["n"] / max(1, every["items"]), holding))
         if index.ids:
-            yield index
+            yield index, n == 1
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -230,8 +271,11 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are runs of letters and digits, lower-cased; an item counts as held if one passage
     holds LEAST_OVERLAP of the 5-word shingles of its question and of its
     answer. Null and empty texts hold nothing; null and empty items, and those without words, are held by nothing.
-    Equal items are all reported. An existing column `leaks` is replaced. There is no shuffle; an index of at most
-    INDEX_CHARS characters goes to the tasks, and a larger benchmark makes further passes.
+    Texts of any length are searched whole. Equal items are all reported; of rows that share an item_id the better score
+    counts. Repeated rows have their results each; an existing column `leaks` is replaced, others stay. An empty table, or
+    an empty benchmark, gives no leaks. Scores use statistics of all items, so that they do not depend on the blocks.
+    There is no shuffle; an index of at most INDEX_CHARS characters goes to the tasks. A larger benchmark makes further
+    passes, each written before the next, so that no two indexes are held at once.
     """
     names = [c for c in docs.columns if c != "leaks"]
     out = docs.select(*(F.col(f"`{c}`") for c in names)).withColumn("leaks", F.from_json(F.lit("[]"), LEAK))
@@ -253,9 +297,18 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return run
 
-    for index in _blocks(benchmark):
-        out = out.mapInArrow(marker(docs.sparkSession.sparkContext.broadcast(index)), schema)
-    return out
+    return _passes(out, benchmark, marker, schema)
+
+
+def _passes(docs: DataFrame, benchmark: DataFrame, step, schema) -> DataFrame:
+    """`docs` through `step` for each index of the benchmark."""
+    for index, only in _blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(step(shared), schema)
+        if not only:
+            docs = written(docs, "benchmark-pass")
+            shared.destroy()
+    return docs
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -271,10 +324,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return run
 
-    out = docs
-    for index in _blocks(benchmark):
-        out = out.mapInArrow(keeper(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
-    return out
+    return _passes(docs, benchmark, keeper, docs.schema)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
