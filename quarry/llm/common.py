@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one made here where it is unset (local tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one made here where it is unset and the master is local, as in tests."""
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir") or context._jsc.sc().getCheckpointDir().getOrElse(None)
     if not found:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="quarry-checkpoint-")
         context.setCheckpointDir(found)
     return found
@@ -34,10 +36,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(held)
+    return path
+
+
 def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write a compact table to the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = shared_path(spark, label)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

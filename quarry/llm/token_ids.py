@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -16,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.bpe import is_plain, plain_tokens, pre_tokens, token_hashes, vocabulary
-from quarry.llm.common import id_and_text, shared_dir, text_pieces, written
+from quarry.llm.common import id_and_text, shared_path, small_batches, text_pieces, written
 
 REMEMBERED = 700_000
 END_ID = 0
 #: Pre-tokens of a space and letters that share a call of the library.
 _JOINED = 2000
-#: The format's schema: one row for each document, rows ascending by doc_id within a shard and over the shards.
-FILE_SCHEMA = "shard int, doc_id long, n_tokens long, control binary, data binary"
+#: The format's schema: one row for each document, rows ascending by doc_id within a shard and over the shards; place: ids of the shard before it.
+FILE_SCHEMA = "shard int, place long, doc_id long, n_tokens long, control binary, data binary"
 
 #: For each control byte: the byte lengths of its four codes.
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -190,7 +189,8 @@ def token_table(docs: DataFrame, vocab_path: str, end_id: int = END_ID) -> DataF
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(used), np.int32)), pa.array(used), pa.array(seen[used]), pa.nulls(len(used), pa.binary())], schema=schema)
 
-    return written(id_and_text(docs).mapInArrow(run, "kind int, id long, n long, ids binary"), "token-ids")
+    with small_batches(docs.sparkSession):
+        return written(id_and_text(docs).mapInArrow(run, "kind int, id long, n long, ids binary"), "token-ids")
 
 
 def rank_table(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -206,23 +206,26 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, shards: int |
     """Encode all documents into `path`; returns id_of[rank], which a reader needs.
 
     Rows stand in ascending doc_id order within each shard and from shard to shard; equal doc_ids keep
-    all their rows. A null text holds the end id alone; null doc_ids come first. An empty table writes no row.
+    all their rows, by length and ids. A null text holds the end id alone; null doc_ids come first. Texts of any length
+    are encoded whole; further columns, whatever their names, are not read. An empty table writes no row.
     """
     tokens = token_table(docs, vocab_path)
     rank, id_of = rank_table(tokens)
     parts = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
+        shard, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             counts = batch.column("n").to_numpy(zero_copy_only=False)
             for a, b in _runs(counts):
                 n, held = counts[a:b], batch.column("ids").slice(a, b - a).to_pylist()
                 ids = np.concatenate([np.frombuffer(x, "<u2" if len(x) == 2 * k else "<u4") for x, k in zip(held, n.tolist(), strict=True)])
                 control, data = encode_codes(rank[ids], n)
+                ends = place + np.cumsum(n)
+                place = int(ends[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(b - a, shard, np.int32)), batch.column("id").slice(a, b - a), pa.array(n), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                    ["shard", "doc_id", "n_tokens", "control", "data"],
+                    [pa.array(np.full(b - a, shard, np.int32)), pa.array(ends - n), batch.column("id").slice(a, b - a), pa.array(n), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                    ["shard", "place", "doc_id", "n_tokens", "control", "data"],
                 )
 
     rows = tokens.where("kind = 0").select("id", "n", "ids").repartitionByRange(parts, "id").sortWithinPartitions("id", "n", "ids")
@@ -231,7 +234,7 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, shards: int |
 
 
 def read_token_files(spark: SparkSession, path: str, id_of: np.ndarray) -> DataFrame:
-    """Per document, from the files: doc_id, start (ids before it), n_tokens, ids_crc32."""
+    """Per document, from the files: doc_id, start (ids before it, in the files' own order), n_tokens, ids_crc32."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,19 +245,17 @@ def read_token_files(spark: SparkSession, path: str, id_of: np.ndarray) -> DataF
                 held = id_of[codes].astype("<u4").tobytes()
                 stops = np.r_[0, 4 * np.cumsum(n)].tolist()
                 sums += [zlib.crc32(held[x:y]) for x, y in zip(stops[:-1], stops[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("doc_id"), batch.column("n_tokens"), pa.array(sums, pa.int64())], ["shard", "doc_id", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "place", "doc_id", "n_tokens")), pa.array(sums, pa.int64())], ["shard", "place", "doc_id", "n_tokens", "ids_crc32"])
 
-    read = spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(decode, "shard int, doc_id long, n_tokens long, ids_crc32 long")
+    read = spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(decode, "shard int, place long, doc_id long, n_tokens long, ids_crc32 long")
     totals = spark.read.schema(FILE_SCHEMA).parquet(path).groupBy("shard").agg(F.sum("n_tokens").alias("held"))
     before = totals.select("shard", (F.sum("held").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")).alias("before"))
-    within = Window.partitionBy("shard").orderBy("doc_id", "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, 0)
-    placed = read.withColumn("within", F.sum("n_tokens").over(within) - F.col("n_tokens"))
     # one row for each shard: a bounded table
-    return placed.join(F.broadcast(before), "shard").select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
+    return read.join(F.broadcast(before), "shard").select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def encode_and_read(docs: DataFrame, vocab_path: str) -> DataFrame:
     """Write the token files of `docs` to the shared folder and read them back; see read_token_files."""
-    path = f"{shared_dir(docs.sparkSession).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    path = shared_path(docs.sparkSession, "token-files")
     id_of = write_token_files(docs, path, vocab_path)
     return read_token_files(docs.sparkSession, path, id_of)
