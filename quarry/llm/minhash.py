@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     (A-Z lower-cased; words end at ASCII white space). Null and empty texts have no shingles and no links: their
     component is their own doc_id, as is that of rows with no partner. Rows with equal sets form one class and
     meet the others through its smallest doc_id; rows that repeat a doc_id count as documents of their own. A null doc_id stands alone
-    (component null, kept). An empty table gives an empty result.
+    (component null, kept). Texts of any length count whole; further columns, whatever their names, are not read. An empty
+    table gives an empty result.
 
     Candidates are rows that share a band of the signature; all of them are verified on full sets, in blocks
     of bounded size, whatever the size of a band. Only doc_ids, set digests and band keys are shuffled before

@@ -1,4 +1,4 @@
-"""Secret scans: one deterministic automaton for all rules, run over many stretches of text in step."""
+"""Secret scans: one deterministic automaton for all rules, run over many stretches of text in step; each end leads back to its start."""
 
 from __future__ import annotations
 
@@ -38,13 +38,19 @@ class Scanner:
     def __init__(self):
         trees = [fold_part(*ASSIGN), parse(ACCESS), parse(HEX), *map(parse, MORE.values())]
         self.forward = Automaton(trees)
-        self.backward = [Automaton([reverse(t)], anywhere=False) for t in trees]
-        self.table, self.flat = self.forward.next.tolist(), self.forward.next.reshape(-1)
+        self.backward = [self._walk_back(Automaton([reverse(t)], anywhere=False)) for t in trees]
+        self.flat = self.forward.next.reshape(-1)
         self.accepts = self.forward.accepts
         self.some = self.accepts > 0
         # after these bytes every state is the start: texts can be cut there without loss
         self.resets = (self.forward.next == 0).all(axis=0)
 
+    @staticmethod
+    def _walk_back(a: Automaton) -> tuple[list[list[int]], list[int], int]:
+        """Transitions, accepting states, and the state that nothing leads out of."""
+        dead = [k for k in range(len(a.next)) if not a.accepts[k] and (a.next[k] == k).all()]
+        return a.next.tolist(), a.accepts.tolist(), dead[0] if dead else -1
+
     def stretches(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranges that cover the texts; each begins where the automaton is in its start state."""
         safe = np.flatnonzero(self.resets[raw]) + 1
@@ -54,59 +60,60 @@ class Scanner:
         cuts = cuts[cuts < len(raw)]
         return cuts, np.r_[cuts[1:], len(raw)]
 
-    def hits(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The stretches in which some rule ends; one step of all stretches at a time, the longest first."""
+    def ends(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(stretch, rule, end within it) of each maximal run of accepting places of a rule, by stretch and end: one step of all stretches at a time, the longest first."""
         order = np.argsort(begin - end, kind="stable")
         at, length = begin[order], (end - begin)[order]
         state = np.zeros(len(order), np.int64)
-        found = np.zeros(len(order), bool)
+        seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 3]
         live = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), side="left")
         for step, n in enumerate(live.tolist()):
             now = self.flat[state[:n] * 256 + raw[at[:n] + step]]
             state[:n] = now
-            found[:n] |= self.some[now]
-        return np.sort(order[found])
-
-    def ends(self, piece: bytes) -> list[tuple[int, int]]:
-        """(rule, end) for each maximal stretch of accepting positions of a rule."""
-        out, state, open_now, table, accepts = [], 0, 0, self.table, self.accepts.tolist()
-        for k, b in enumerate(piece):
-            state = table[state][b]
-            now = accepts[state]
-            if now != open_now:
-                gone = open_now & ~now
-                while gone:
-                    low = gone & -gone
-                    out.append((low.bit_length() - 1, k))
-                    gone ^= low
-                open_now = now
-        while open_now:
-            low = open_now & -open_now
-            out.append((low.bit_length() - 1, len(piece)))
-            open_now ^= low
-        return out
+            hit = np.flatnonzero(self.some[now])
+            if len(hit):
+                seen.append((order[hit], np.full(len(hit), step), self.accepts[now[hit]]))
+        stretch, step, rules = (np.concatenate(x) for x in zip(*seen, strict=True))
+        by_place = np.lexsort((step, stretch))
+        stretch, step, rules = stretch[by_place], step[by_place], rules[by_place]
+        goes_on = np.zeros(len(step), bool)
+        goes_on[:-1] = (stretch[1:] == stretch[:-1]) & (step[1:] == step[:-1] + 1)
+        following = np.where(goes_on, np.r_[rules[1:], np.zeros(min(1, len(rules)), np.int64)], 0)
+        gone = rules & ~following
+        found = [np.flatnonzero(gone >> k & 1) for k in range(len(KINDS))]
+        rule = np.repeat(np.arange(len(KINDS)), [len(x) for x in found])
+        place = np.concatenate(found)
+        order = np.lexsort((rule, step[place], stretch[place]))
+        return stretch[place][order], rule[order], step[place][order] + 1
 
     def start(self, rule: int, piece: bytes, end: int, least: int) -> int:
-        """The leftmost start of a match of the rule that ends at `end` and begins at `least` or later; -1 if none."""
-        table, accepts = self.backward[rule].next, self.backward[rule].accepts
+        """The leftmost start of a match of the rule that ends at `end` and begins at `least` or later; -1 if none. Walks back over the match alone: beyond it the automaton is dead."""
+        table, accepts, dead = self.backward[rule]
         state, found = 0, -1
         for k in range(end - 1, least - 1, -1):
-            state = table[state, piece[k]]
+            state = table[state][piece[k]]
+            if state == dead:
+                break
             if accepts[state]:
                 found = k
         return found
 
-    def spans(self, piece: bytes) -> list[tuple[int, int, int]]:
-        """(start, rule, end) of the leftmost matches of each rule that do not overlap, in bytes."""
-        out, after = [], [0] * len(KINDS)
-        for rule, end in self.ends(piece):
-            s = self.start(rule, piece, end, after[rule])
+    def spans(self, raw: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int, int, int]]]:
+        """For each text (start, rule, end) of the leftmost matches of each rule that do not overlap, in bytes."""
+        begin, end = self.stretches(raw, offsets)
+        out: list[list[tuple[int, int, int]]] = [[] for _ in offsets[1:]]
+        here, piece, after, base, own = -1, b"", [], 0, out
+        for k, rule, e in zip(*(x.tolist() for x in self.ends(raw, begin, end)), strict=True):
+            if k != here:
+                here, piece, after = k, raw[begin[k] : end[k]].tobytes(), [0] * len(KINDS)
+                doc = int(np.searchsorted(offsets, begin[k], side="right")) - 1
+                base, own = int(begin[k] - offsets[doc]), out[doc]
+            s = self.start(rule, piece, e, after[rule])
             if s < 0:
                 continue
-            after[rule] = end
-            if (end - s if rule else _value_length(piece, s, end)) < LEAST[KINDS[rule]]:
-                continue
-            out.append((s, rule, end))
+            after[rule] = e
+            if (e - s if rule else _value_length(piece, s, e)) >= LEAST[KINDS[rule]]:
+                own.append((s + base, rule, e + base))
         return out
 
 
@@ -130,7 +137,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """Per row of `docs`: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     Spans are kind:start:end in code points, end exclusive, ordered by start, then by kind as in KINDS. A null
-    or empty text has none, and the hash of the empty string. Repeated rows give repeated results. No shuffle.
+    or empty text has none, and the hash of the empty string. Texts of any length are scanned whole. Repeated rows give
+    repeated results; further columns, whatever their names, are not read. An empty table gives an empty result. No shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,16 +147,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
             counts, digests, every = [], [], []
             for a, b in text_pieces(batch, "text"):
                 raw, offsets = buffers(batch.column("text").slice(a, b - a))
-                begin, end = scan.stretches(raw, offsets)
-                hit = scan.hits(raw, begin, end)
-                owner = np.searchsorted(offsets, begin[hit], side="right") - 1
-                found: dict[int, list[tuple[int, int, int]]] = {}
-                for k, doc in zip(hit.tolist(), owner.tolist(), strict=True):
-                    base = int(begin[k] - offsets[doc])
-                    piece = raw[begin[k] : end[k]].tobytes()
-                    found.setdefault(doc, []).extend((s + base, rule, e + base) for s, rule, e in scan.spans(piece))
-                for doc in range(b - a):
-                    spans = sorted(found.get(doc, ()))
+                for doc, spans in enumerate(map(sorted, scan.spans(raw, offsets))):
                     if spans:
                         lead = (raw[offsets[doc] : offsets[doc + 1]] & 0xC0) != 0x80  # first bytes of code points
                         points = np.r_[0, np.cumsum(lead)]
