@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import table
 
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 
 
+def byte_bpe() -> str:
+    """Where the tokenizer of the queries lies; looked up when it is needed, so that the others do without."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.lm_score import score_documents
 
@@ -37,7 +42,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.token_counts import count_tokens
 
-    return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, TOKEN_LIMIT)
+    return count_tokens(table(spark, sf_dir, "documents"), byte_bpe(), TOKEN_LIMIT)
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +72,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.token_ids import encode_and_read
 
-    return encode_and_read(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return encode_and_read(table(spark, sf_dir, "documents"), byte_bpe())
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,17 +88,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id,
+  SELECT a.r, a.vec_id AS query_id, b.vec_id,
          CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
   WHERE a.vec_id % 100 = 0
 ), r AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+  SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,12 +13,13 @@ from tokenizers import Tokenizer
 
 from quarry.llm import bpe, secret_scan, textnp, token_ids
 from quarry.llm.automaton import Automaton, parse
-from quarry.llm.queries import BYTE_BPE
+from quarry.llm.queries import byte_bpe
 from quarry.llm.secret_scan import scan_secrets
 from quarry.llm.token_counts import count_tokens
 from quarry.llm.token_ids import encode_and_read
 
 ODD = [None, "", " ", "a", "don't we'll 'S 's ''s", "x  y\n\n  z\t", "<|endoftext|>", "a<|endoftext|>b<|endoftext|><|endoftext|>", "naïve ÉCOLE straße 12³ ½ Ⅷ", "日本語 текст 😀 é‍", "a" * 3000, "ab" * 2000 + " " * 50, "\x1c\x85\xa0 end ", "the the the", "the the the"]
+BYTE_BPE = byte_bpe()
 LIBRARY = Tokenizer.from_file(BYTE_BPE)
 
 
@@ -77,6 +79,22 @@ def test_token_files(spark):
     assert encode_and_read(frame(spark, []), BYTE_BPE).count() == 0
 
 
+def test_token_files_of_repeated_ids(spark, tmp_path):
+    """Rows of one doc_id and length: each start is the row's own place in the file. Long texts too."""
+    texts = ["b c", "a b", "a b", "c a", "x" * 300_000, None]
+    docs = spark.createDataFrame([(None if k == 5 else 7, t, 0) for k, t in enumerate(texts)], "doc_id long, text string, start long")
+    path = str(tmp_path / "tokens")
+    id_of = token_ids.write_token_files(docs, path, BYTE_BPE)
+    rows = sorted(token_ids.read_token_files(spark, path, id_of).collect(), key=lambda r: r["start"])
+    want = Counter(zlib.crc32(np.array([*library_ids(t), 0], "<u4").tobytes()) for t in texts)
+    assert Counter(r["ids_crc32"] for r in rows) == want and [r["doc_id"] for r in rows] == [None, 7, 7, 7, 7, 7]
+    assert [r["start"] for r in rows] == [0, *np.cumsum([r["n_tokens"] for r in rows]).tolist()[:-1]]
+    held = spark.read.parquet(path).orderBy("shard", "place").collect()
+    ids = np.concatenate([id_of[token_ids.decode_codes(r["control"], r["data"], np.array([r["n_tokens"]]))] for r in held])
+    for r in rows:
+        assert zlib.crc32(ids[r["start"] : r["start"] + r["n_tokens"]].astype("<u4").tobytes()) == r["ids_crc32"]
+
+
 def plain_spans(text):
     assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
@@ -94,12 +112,30 @@ def test_spans_equal_plain_expressions(parts):
     data = text.encode()
     scan = secret_scan.scanner()
     points = np.r_[0, np.cumsum([(b & 0xC0) != 0x80 for b in data])].astype(int)
-    got = sorted((points[s], r, points[e]) for s, r, e in scan.spans(data) if r < 3)
-    assert got == plain_spans(text)
-    raw = np.frombuffer(data, np.uint8)
-    begin, end = scan.stretches(raw, np.array([0, len(raw)]))
-    hit = scan.hits(raw, begin, end)
-    assert bool(len(hit)) or not scan.spans(data)
+    raw = np.frombuffer(data + b"token=" + data, np.uint8)
+    one, nothing, other = scan.spans(raw, np.array([0, len(data), len(data), len(raw)]))
+    got = sorted((points[s], r, points[e]) for s, r, e in one if r < 3)
+    assert got == plain_spans(text) and nothing == []
+    assert len([x for x in other if x[1] < 3]) == len(plain_spans("token=" + text))
+
+
+def test_long_stretches_are_walked_back_once():
+    """A long stretch without a byte that resets the automaton: each match is walked over, not all that lies before it."""
+    import time
+
+    scan = secret_scan.scanner()
+    data = b"token=abcdef " * 10 + b"a" * 200_000 + b"-" + b"AKIA" + b"B" * 50_000
+    begun = time.perf_counter()
+    (found,) = scan.spans(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert time.perf_counter() - begun < 30
+    assert [x for x in sorted(found) if x[1] < 3] == plain_spans(data.decode())
+
+
+def test_secret_rows_of_repeated_and_missing_ids(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef", "x"), (1, "token=abcdef", "y"), (None, "none", "z")], "doc_id long, text string, spans string")
+    found = sorted((str(r["doc_id"]), r["n_assign"], r["spans"]) for r in scan_secrets(docs).collect())
+    assert found == [("1", 1, "assign:0:12"), ("1", 1, "assign:0:12"), ("None", 0, "")]
+    assert scan_secrets(docs.limit(0)).count() == 0
 
 
 def test_secret_rows(spark):
