@@ -2,72 +2,65 @@
 
 from __future__ import annotations
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import table, written
+from quarry.llm.common import small_batches, table, written
 from quarry.llm.decontam import decontaminate
 from quarry.llm.minhash import near_duplicates
-from quarry.llm.mixing import mix_sources
-from quarry.llm.queries import BYTE_BPE
+from quarry.llm.mixing import mixed
+from quarry.llm.queries import byte_bpe
 from quarry.llm.token_ids import encode_and_read
 from quarry.llm.toxicity import fit, keep_clean
 
-#: Rows of an Arrow batch while the pipeline runs: whole texts stay small on both sides of the pipe to Python.
-BATCH_ROWS = 1000
 #: Near duplicates of the pipeline: shingles of five words, a similarity of 0.8.
 WORDS, PERCENT = 5, 80
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject by their language's threshold."""
-    return keep_clean(docs, fit(docs, table(spark, sf_dir, "labels")))
+    """Documents that the classifier does not reject by their language's threshold.
+
+    Null and empty texts are scored as texts without words; rows without a doc_id are scored but train nothing; equal
+    rows fare alike. Where there are no labels, or labels of one kind only, all documents stay. An empty table stays empty.
+    """
+    with small_batches(spark):
+        return written(keep_clean(docs, fit(docs, table(spark, sf_dir, "labels"))), "clean")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id. Rows that repeat a doc_id and its text go too; null doc_ids stay."""
+    """One document of each group of near duplicates: that of the smallest doc_id.
+
+    Rows that repeat a doc_id and its text go too; null doc_ids stay, and so do texts without words. An empty table stays empty.
+    """
     kept = near_duplicates(docs, WORDS, PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
     once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    found = docs.join(written(kept, "kept"), "doc_id", "left_semi").select("*", F.row_number().over(once).alias("_copy")).where("_copy = 1").select(*docs.columns)
+    mark = "_" * (1 + max(map(len, docs.columns)))  # no other column's name
+    found = docs.join(written(kept, "kept"), "doc_id", "left_semi").withColumn(mark, F.row_number().over(once)).where(F.col(mark) == 1).drop(mark)
     return found.union(docs.where("doc_id is null"))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold no item of the benchmark. Null and empty texts hold none; without items all documents stay."""
+    with small_batches(spark):
+        return written(decontaminate(docs, table(spark, sf_dir, "benchmark")), "decontaminated")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes; none of documents without words."""
-    plan = mix_sources(docs).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_copies"))
-    joined = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """As many copies of each document as the mix takes; none of documents without words. Rows that share a doc_id, or have none, are documents of their own."""
+    return mixed(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32."""
-    return encode_and_read(docs, BYTE_BPE)
-
-
-def _in_small_batches(stage):
-    """The stage with the session's Arrow batches set to BATCH_ROWS; they stay so, as results are computed later."""
-
-    @wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-        return stage(spark, docs, sf_dir)
-
-    return run_stage
+    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32. Each copy of a document has its row; an empty table gives none."""
+    return encode_and_read(docs, byte_bpe())
 
 
 STAGES = [
-    ("toxicity", _in_small_batches(remove_toxic)),
-    ("minhash_near_dedup", _in_small_batches(drop_near_duplicates)),
-    ("benchmark_decontamination", _in_small_batches(remove_benchmark)),
-    ("source_mixing", _in_small_batches(mix)),
-    ("token_output", _in_small_batches(write_tokens)),
+    ("toxicity", remove_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", remove_benchmark),
+    ("source_mixing", mix),
+    ("token_output", write_tokens),
 ]
 
 #: The stages train a classifier, verify similarities and encode tokens: not expressible in SQL.
