@@ -151,3 +151,26 @@ def occurrences(text: Column, needle: Column) -> Column:
     """How often a non-empty string stands in a text, without overlap."""
     gone = F.length(text) - F.length(F.replace(text, needle))
     return F.when(F.length(needle) > 0, (gone / F.length(needle)).cast("int")).otherwise(0)
+
+
+def to_int(c: Column, default: int | None = None) -> Column:
+    """A cell as a whole number; `default` where it is none. Fractions are cut, as of 3.0 from a table of floats."""
+    number = c.cast("string").try_cast("double")
+    whole = F.when(F.isnan(number) | (F.abs(number) >= 2.0**63), F.lit(None)).otherwise(number).cast("long")
+    return F.coalesce(c.cast("string").try_cast("long"), whole, F.lit(default).cast("long"))
+
+
+def optional_string(c: Column) -> Column:
+    """A cell as text; null where it is empty."""
+    return F.nullif(strip(c.cast("string")), F.lit(""))
+
+
+def string_list(c: Column) -> Column:
+    """A cell that holds a JSON array, or one value, as a list of texts that are not empty."""
+    listed = F.from_json(c, "array<string>", {"mode": "PERMISSIVE"})
+    held = F.when(strip(or_empty(c)).startswith("["), F.coalesce(listed, F.array(c))).otherwise(F.array(c))
+    return F.filter(F.transform(held, lambda x: strip(x)), lambda x: x.isNotNull() & (x != ""))
+
+
+def is_editorjs(c: Column) -> Column:
+    return source_format(c) == "editorjs_json"

@@ -10,22 +10,6 @@ from quarry.functions import text as X
 LEVELS = range(1, 7)
 
 
-def plain_lines(docs: DataFrame, text: str = "plain_text") -> DataFrame:
-    """A block for each non-empty line of a normalised text: list items and paragraphs."""
-    lines = docs.select("*", F.posexplode(F.split(F.col(text), r"\R")).alias("_pos", "_line")).withColumn("_line", X.strip(F.col("_line"))).where("_line <> ''")
-    order = F.row_number().over(Window.partitionBy(*[c for c in ("doc_id", "source_row") if c in docs.columns]).orderBy("_pos"))
-    listed = F.col("_line").rlike(X.LIST_MARK)
-    return lines.select(*docs.columns, order.alias("order"), F.when(listed, "list_item").otherwise("paragraph").alias("type"), F.col("_line").alias("text"), F.col("_pos").alias("line"))
-
-
-def line_offsets(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Where each block's text stands in the joined lines; lines keep their place, empty ones count one line end."""
-    before = Window.partitionBy(*keys).orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
-    # a line end behind each earlier block, and one for each empty line between
-    start = F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)) + F.col("line")
-    return lines.withColumn("char_start", start.cast("int")).withColumn("char_end", (F.col("char_start") + F.length("text")).cast("int"))
-
-
 def with_heading_path(blocks: DataFrame, keys: list[str], order: str = "order") -> DataFrame:
     """Adds heading_path and parent_path: for each level the last heading so far that no later, shallower one has closed.
 
@@ -66,17 +50,6 @@ def starts_in(full_text: Column, texts: Column) -> Column:
     return F.aggregate(texts, start, step, lambda s: s["found"])
 
 
-def line_starts(text: Column) -> Column:
-    """Where each line that is not empty begins in a text of trimmed lines: running sums, no search."""
-    start = F.struct(F.lit(0).alias("cursor"), F.array().cast("array<int>").alias("found"))
-
-    def step(state: Column, line: Column) -> Column:
-        found = F.when(line == "", state["found"]).otherwise(F.array_append(state["found"], state["cursor"]))
-        return F.struct((state["cursor"] + F.length(line) + 1).alias("cursor"), found.alias("found"))
-
-    return F.aggregate(F.split(text, "\n"), start, step, lambda s: s["found"])
-
-
 def metrics(blocks: DataFrame) -> DataFrame:
     return blocks.select("doc_id", "block_id", "order", "type", F.length("text").alias("text_length"), "level", F.col("metadata.row_count").alias("row_count"), F.col("metadata.column_count").alias("column_count"), "heading_path")
 

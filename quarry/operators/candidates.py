@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as X
-from quarry.functions.spans import span_finder
+from quarry.functions.spans import KEYWORD, span_finder
 from quarry.operators.lexicon import LEAST_MINED_KEYWORD, MINED_PATTERN_TYPES, Lexicon
 from quarry.operators.surface import classify, parse_surfaces
 from quarry.sources.shared import cut
 
-TITLE_BLOCK = "document_title"
+#: Fixed value: the block id of evidence from a title.
+TITLE_BLOCK = "__document_title__"
 MOST_PREFIX = 90
 NO_UNIT = 999
 CONDITIONAL_TYPES = ("symptom", "contraindication", "adverse_effect")
@@ -24,19 +25,20 @@ GENERIC_ROLES = ("facet_only", "rejected_generic")
 def drop_overlaps(spans: Column) -> Column:
     """The spans that a greedy pass from left to right keeps: at one start the longest, then the first listed."""
     keyed = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (s["start"] - s["end"]).alias("shorter"), s["rank"].alias("rank"), s.alias("span"))))
-    empty = F.array().cast("array<struct<start: int, end: int, surface: string, pattern: string, kind: string, rank: int>>")
+    none = F.array().cast("array<struct<start: int, end: int, surface: string, pattern: string, kind: string, rank: int>>")
 
-    def take(kept: Column, s: Column) -> Column:
-        clash = F.exists(kept, lambda k: (s["span"]["start"] < k["end"]) & (s["span"]["end"] > k["start"]))
-        return F.when(clash, kept).otherwise(F.array_append(kept, s["span"]))
+    def take(state: Column, s: Column) -> Column:  # spans come by their start, so one number says where the kept ones end
+        free = s["start"] >= state["reach"]
+        kept = F.when(free, F.array_append(state["kept"], s["span"])).otherwise(state["kept"])
+        return F.struct(F.when(free, s["span"]["end"]).otherwise(state["reach"]).alias("reach"), kept.alias("kept"))
 
-    return F.aggregate(keyed, empty, take)
+    return F.aggregate(keyed, F.struct(F.lit(-1).alias("reach"), none.alias("kept")), take, lambda state: state["kept"])
 
 
 def mention_rules(lexicon: Lexicon) -> list[tuple[str, str, str]]:
     rules = []
     for kind in lexicon.entity_types:
-        rules += [(rf"(?<!\w){re.escape(k)}(?!\w)", kind, f"keyword:{k}") for k in lexicon.entity_types[kind].get("keywords") or [] if len(k or "") >= LEAST_MINED_KEYWORD]
+        rules += [(rf"(?<!\w){re.escape(k)}(?!\w)", kind, f"{KEYWORD}{k}") for k in lexicon.entity_types[kind].get("keywords") or [] if len(k or "") >= LEAST_MINED_KEYWORD]
         if kind in MINED_PATTERN_TYPES:
             rules += [(p, kind, f"regex:{p}") for p in lexicon.patterns(kind)]
     return rules
@@ -88,8 +90,10 @@ def hits(docs: DataFrame, blocks: DataFrame, units: DataFrame, lexicon: Lexicon)
     headings = placed.withColumn("_first", first).where("type = 'heading'")
     headings = headings.select("doc_id", "topic_unit_id", order(1, F.col("order")), F.col("text").alias("value"), F.when(F.col("order") == F.col("_first"), sources("heading", "first_heading")).otherwise(sources("heading")).alias("sources"), _of_block("heading", 0.9), *given())
 
-    lead = pairs.join(blocks.select("doc_id", "block_id", "text", "heading_path", "char_start", "char_end"), ["doc_id", "block_id"])
-    texts = F.struct("place", "block_id", "text", "heading_path", "char_start", "char_end")
+    # texts are brought to their compared form once, before they meet their mentions
+    plain = blocks.select("doc_id", "block_id", "text", X.normalize_surface(X.or_empty("text")).alias("compared"), "heading_path", "char_start", "char_end")
+    lead = pairs.join(plain, ["doc_id", "block_id"])
+    texts = F.struct("place", "block_id", "text", "compared", "heading_path", "char_start", "char_end")
     lead = lead.groupBy("doc_id", "topic_unit_id").agg(F.array_sort(F.collect_list(texts)).alias("b"))
     named = unit_cols.where("unit_type <> 'document_title' and unit_title <> ''").join(lead, ["doc_id", "topic_unit_id"], "left")
     b = F.try_element_at("b", F.lit(1))
@@ -110,7 +114,7 @@ def hits(docs: DataFrame, blocks: DataFrame, units: DataFrame, lexicon: Lexicon)
         mined = mined.unionByName(words)
     mined = mined.join(real.select("doc_id", "topic_unit_id", "unit_index"), ["doc_id", "topic_unit_id"]).join(lead, ["doc_id", "topic_unit_id"])
     mined = mined.withColumn("_s", X.normalize_surface(F.col("surface")))
-    holding = F.filter("b", lambda x: (F.col("_s") != "") & F.contains(X.normalize_surface(X.or_empty(x["text"])), F.col("_s")))
+    holding = F.filter("b", lambda x: (F.col("_s") != "") & F.contains(x["compared"], F.col("_s")))
     h = F.coalesce(F.try_element_at(holding, F.lit(1)), b)
     mined = mined.withColumn("_h", h)
     h = F.col("_h")
@@ -152,13 +156,15 @@ def drafts(sightings: DataFrame, units: DataFrame, blocks: DataFrame, lexicon: L
     filled = lambda field: F.array_distinct(F.filter(F.transform("evidence", lambda e: e[field]), lambda v: v != ""))
     paths = F.array_distinct(F.filter(F.transform("evidence", lambda e: e["heading_path"]), lambda p: F.size(p) > 0))
     merged = merged.withColumns({"evidence_block_ids": filled("block_id"), "evidence_texts": filled("text"), "heading_paths": paths})
-    merged = merged.join(units.select(F.col("doc_id"), "topic_unit_id", "unit_index", F.col("text").alias("unit_text")), ["doc_id", "topic_unit_id"], "left")
+    compared = units.select("doc_id", "topic_unit_id", "unit_index", X.normalize_surface(X.or_empty("text")).alias("unit_text"))
+    merged = merged.join(compared, ["doc_id", "topic_unit_id"], "left")
     headed = blocks.where("type = 'heading'").groupBy("doc_id").agg(F.collect_list(X.normalize_surface(X.or_empty("text"))).alias("headings"))
     merged = merged.join(headed, "doc_id", "left").withColumn("unit_index", F.coalesce("unit_index", F.lit(NO_UNIT)))
     merged = merged.withColumn("_needle", X.normalize_surface(X.or_empty(F.coalesce(F.nullif("core_surface", F.lit("")), F.col("surface")))))
     count = F.coalesce(F.size(F.filter("headings", lambda h: F.contains(h, F.col("_needle")))), F.lit(0))
     merged = merged.withColumn("heading_hits", F.when(F.col("_needle") != "", F.when(F.col("headings").isNull(), 0).otherwise(count)).otherwise(0))
-    return merged.withColumn("unit_frequency", X.occurrences(X.normalize_surface(X.or_empty(F.coalesce("unit_text", "surface"))), F.col("_needle"))).drop("_needle", "headings", "unit_text")
+    own = F.coalesce("unit_text", X.normalize_surface(X.or_empty("surface")))
+    return merged.withColumn("unit_frequency", X.occurrences(own, F.col("_needle"))).drop("_needle", "headings", "unit_text")
 
 
 def score_terms(lexicon: Lexicon) -> dict[str, Column]:
@@ -253,7 +259,7 @@ def candidate_table(rows: DataFrame) -> DataFrame:
     return rows.select(
         "candidate_id", "doc_id", "topic_unit_id", "role", "surface", "normalized_surface", "core_surface", "normalized_core_surface", "entity_type", F.lit(None).cast("string").alias("entity_subtype"), "facet_type", "facets",
         F.create_map().cast("map<string,string>").alias("qualifiers"), "sources", "evidence_block_ids", "evidence_texts", "heading_paths", "score", "score_components", "confidence_bucket", "needs_review", "review_reason", "warnings",
-        F.struct(F.col("p_pattern").alias("parser_pattern"), F.col("c_pattern").alias("classifier_pattern"), F.col("c_confidence").alias("classifier_confidence")).alias("metadata"), "seq", "unit_index",
+        F.struct(F.col("p_pattern").alias("parser_pattern"), F.col("c_pattern").alias("classifier_pattern"), F.col("c_confidence").alias("classifier_confidence"), F.col("is_generic").alias("is_generic"), F.lit(None).cast("string").alias("no_evidence_reason")).alias("metadata"), "seq", "unit_index",
     )
 
 

@@ -30,7 +30,7 @@ def documents(rows: DataFrame) -> DataFrame:
     if "extra_values" in rows.columns:
         names, values = [*names, F.lit("extra_values")], [*values, F.col("extra_values").cast("string")]
     metadata = F.map_filter(F.map_from_arrays(F.array(*names), F.array(*values)), lambda _, v: v.isNotNull() & (v != "")) if names else F.create_map().cast("map<string,string>")
-    order = F.col("source_row").cast("int") if "source_row" in rows.columns else F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(2**31 - 1)).cast("int")
+    order = F.col("source_row").cast("long") if "source_row" in rows.columns else F.monotonically_increasing_id()
     raw, hashed = X.or_empty("content"), X.content_hash(F.col("content"))
     source_id = F.coalesce(*ids) if ids else F.lit(None).cast("string")
     description = X.or_empty("description") if "description" in rows.columns else F.lit("")

@@ -5,7 +5,8 @@ A Lexicon is data: the default one holds the fixed Russian medical values, tests
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import os
+from dataclasses import dataclass, field, replace
 
 import yaml
 
@@ -85,6 +86,20 @@ MINED_PATTERN_TYPES = ("drug_product", "symptom", "medical_device")
 LEAST_MINED_KEYWORD = 4
 
 
+#: The files of a configuration folder, where it stands under a project, and the keys of review.yaml.
+FOLDER_FILES = ("drug_forms.yaml", "entity_patterns.yaml", "facet_patterns.yaml", "generic_blocklist.yaml", "review.yaml", "scoring.yaml")
+FOLDER = ("configs", "tagging")
+REVIEW_KEYS = {
+    "review_top_k_per_doc": "top_k", "review_sample_size": "sample_size", "large_doc_topic_unit_warning_threshold": "many_units",
+    "many_candidates_warning_threshold": "many_candidates", "candidate_explosion_warning_threshold": "explosion",
+}
+
+
+def find_folder(root: str) -> str | None:
+    """The configuration folder of a project, or else of the working directory."""
+    return next((p for p in (os.path.join(r, *FOLDER) for r in (root, os.getcwd())) if os.path.isdir(p)), None)
+
+
 def _norm(value: str) -> str:
     """normalize_surface of a lexicon phrase, in Python: the same form that columns are brought to."""
     import re
@@ -116,6 +131,20 @@ class Lexicon:
         with open(path, encoding="utf-8") as f:
             return cls.parse(f.read())
 
+    @classmethod
+    def read_folder(cls, folder: str) -> Lexicon:
+        """The six files of a configuration folder under their own key names; a file or key that is absent keeps its default."""
+        held = {}
+        for name in FOLDER_FILES:
+            path = os.path.join(folder, name)
+            if os.path.exists(path):
+                with open(path, encoding="utf-8") as f:
+                    held[name] = yaml.safe_load(f) or {}
+        base = default()
+        given = {k: v for name, found in held.items() if name not in ("scoring.yaml", "review.yaml") for k, v in found.items() if k in cls.__dataclass_fields__}
+        review = base.review | {REVIEW_KEYS[k]: v for k, v in held.get("review.yaml", {}).items() if k in REVIEW_KEYS}
+        return replace(base, **given, scoring=base.scoring | held.get("scoring.yaml", {}), review=review)
+
     def with_defaults(self) -> Lexicon:
         base = default()
         return Lexicon(**{k: getattr(self, k) or getattr(base, k) if k in ("scoring", "review") else getattr(self, k) for k in self.__dataclass_fields__})

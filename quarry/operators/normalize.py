@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as X
 from quarry.functions.markup import META_DDL, parse_editorjs, parse_html
-from quarry.operators.blocks import block_markdown, line_starts, starts_in, with_heading_path
+from quarry.operators.blocks import block_markdown, starts_in, with_heading_path
 
 LEAST_USEFUL, LEAST_PRESERVED = 0.10, 0.80
 _BLOCKS = f"array<struct<type: string, text: string, html: string, level: int, dom_path: string, metadata: {META_DDL}>>"
+_LINES = f"array<struct<type: string, text: string, html: string, level: int, dom_path: string, metadata: {META_DDL}, line: int>>"
 
 
 def _plain(text: Column) -> Column:
-    """Blocks of plain text: one for each line that is not empty."""
-    lines = F.filter(F.split(text, r"\R"), lambda x: X.strip(x) != "")
+    """Blocks of plain text: one for each line that is not empty, with the number of lines before it."""
+    numbered = F.transform(F.split(text, r"\R"), lambda x, k: F.struct(X.strip(x).alias("text"), k.cast("int").alias("line")))
+    lines = F.filter(numbered, lambda x: x["text"] != "")
 
     kind = lambda line: F.when(line.rlike(X.LIST_MARK), F.lit("list_item")).otherwise(F.lit("paragraph"))
     nothing = F.from_json(F.lit("{}"), META_DDL.removeprefix("struct<").removesuffix(">").replace(": ", " "))
-    return F.transform(lines, lambda x: F.struct(kind(x).alias("type"), X.strip(x).alias("text"), F.lit(None).cast("string").alias("html"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("dom_path"), nothing.alias("metadata"))).cast(_BLOCKS)
+    return F.transform(lines, lambda x: F.struct(kind(x["text"]).alias("type"), x["text"].alias("text"), F.lit(None).cast("string").alias("html"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("dom_path"), nothing.alias("metadata"), x["line"].alias("line"))).cast(_LINES)
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -30,21 +32,27 @@ def parsed(docs: DataFrame) -> DataFrame:
     is_html, is_editor = F.col("format") == "html", F.col("format") == "editorjs_json"
     base = base.withColumn("_direct", F.when(is_html, F.col("_h.plain_text")).when(is_editor, F.lit("")).otherwise(X.normalize_lines(F.col("raw"))))
     own = F.when(is_editor, F.col("_e.blocks")).when(is_html & (F.size("_h.blocks") > 0), F.col("_h.blocks"))
-    base = base.withColumn("_blocks", F.coalesce(own.cast(_BLOCKS), F.when(is_editor, F.array().cast(_BLOCKS)).otherwise(_plain(F.col("_direct")))))
+    of_markup = F.transform(own.cast(_BLOCKS), lambda b: F.struct(*(b[c].alias(c) for c in ("type", "text", "html", "level", "dom_path", "metadata")), F.lit(None).cast("int").alias("line")))
+    base = base.withColumn("_blocks", F.coalesce(of_markup, F.when(is_editor, F.array().cast(_LINES)).otherwise(_plain(F.col("_direct")))))
     base = base.withColumn("normalized_text", X.normalize_lines(F.array_join(F.transform("_blocks", lambda b: b["text"]), "\n")))
     base = base.withColumn("plain_text", F.when(is_editor, F.col("normalized_text")).otherwise(F.col("_direct")))
     base = base.withColumn("useful_source", F.when(is_editor, F.col("_e.plain_text")).otherwise(F.col("_direct")))
     searched = starts_in(F.col("plain_text"), F.transform("_blocks", lambda b: b["text"]))
-    base = base.withColumn("_starts", F.when(own.isNotNull() | is_editor, searched).otherwise(line_starts(F.col("plain_text"))))
+    base = base.withColumn("_starts", F.when(own.isNotNull() | is_editor, searched))  # lines are placed by running sums, see blocks
     base = base.withColumn("error", F.when(is_editor, F.col("_e.error")).when(is_html, F.col("_h.error")))
     return base.drop("raw", "_h", "_e", "_direct")
 
 
 def blocks(done: DataFrame) -> DataFrame:
     """Block rows with ids, heading paths and offsets; `source_row` keeps copies of a document apart."""
-    rows = done.select("doc_id", "source_row", F.posexplode(F.arrays_zip("_blocks", "_starts")).alias("_pos", "_b"))
+    searched = F.coalesce("_starts", F.array().cast("array<int>"))
+    rows = done.withColumn("_starts", searched).select("doc_id", "source_row", F.posexplode(F.arrays_zip("_blocks", "_starts")).alias("_pos", "_b"))
     order = (F.col("_pos") + 1).cast("int")
-    text, start = F.col("_b._blocks.text"), F.col("_b._starts").cast("int")
+    text, line = F.col("_b._blocks.text"), F.col("_b._blocks.line")
+    # a line begins behind the texts before it and one line end for each line before it, empty ones as well
+    before = F.sum(F.length(text)).over(Window.partitionBy("doc_id", "source_row").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_start", F.when(line.isNotNull(), F.coalesce(before, F.lit(0)) + line).otherwise(F.col("_b._starts")).cast("int"))
+    start = F.col("_start")
     rows = rows.select(
         X.make_block_id(F.col("doc_id"), order, text).alias("block_id"), "doc_id", "source_row", order.alias("order"), F.col("_b._blocks.type").alias("type"), text.alias("text"),
         F.col("_b._blocks.html").alias("html"), F.col("_b._blocks.level").alias("level"), F.col("_b._blocks.dom_path").alias("dom_path"), start.alias("char_start"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,21 +23,30 @@ def islands(rows: DataFrame, keys: list[str], order: str, value: Column) -> Data
 
 
 def greedy_windows(sizes: Column, most_rows: int = WINDOW_BLOCKS, most_chars: int = WINDOW_CHARS) -> Column:
-    """The window number of each size: a window closes when it is full or would grow over its characters; one oversize row stands alone."""
-    zero = F.struct(F.lit(0).alias("window"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("chars"), F.array().cast("array<int>").alias("out"))
+    """The window number of each size: a window closes when it is full or would grow over its characters; one oversize row stands alone.
 
-    def step(s: Column, size: Column) -> Column:
-        full = (s["n"] > 0) & ((s["n"] >= most_rows) | (s["chars"] + size > most_chars))
-        window = F.when(full, s["window"] + 1).otherwise(s["window"])
-        return F.struct(
-            window.alias("window"), F.when(full, F.lit(1)).otherwise(s["n"] + 1).alias("n"), F.when(full, size.cast("long")).otherwise(s["chars"] + size).cast("long").alias("chars"),
-            F.array_append(s["out"], window).alias("out"),
-        )
+    Each number depends on all before it, and an array that grows by one is copied whole by built-ins; so this runs
+    over Arrow batches, in time linear in the sizes.
+    """
+
+    def numbers(sizes: pd.Series) -> pd.Series:
+        def one(held: np.ndarray | None) -> list[int] | None:
+            if held is None:
+                return None
+            out, window, n, chars = [], 0, 0, 0
+            for size in held.tolist():
+                if n and (n >= most_rows or chars + size > most_chars):
+                    window, n, chars = window + 1, 0, 0
+                n, chars = n + 1, chars + size
+                out.append(window)
+            return out
+
+        return sizes.map(one)
 
-    return F.aggregate(sizes, zero, step, lambda s: s["out"])
+    return F.pandas_udf(numbers, "array<int>")(sizes)
 
 
-def _gathered(rows: DataFrame, group: list[str], **fixed: Column) -> DataFrame:
+def gathered(rows: DataFrame, group: list[str], **fixed: Column) -> DataFrame:
     """One unit of each group of blocks, in block order."""
     piece = F.struct("order", "type", "heading_path", "block_id", F.trim(X.or_empty("text")).alias("text"))
     out = rows.groupBy(*group).agg(F.array_sort(F.collect_list(piece)).alias("_b"), F.min("order").alias("pos"), F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end"))
@@ -68,19 +79,19 @@ def topic_units(docs: DataFrame, blocks: DataFrame) -> DataFrame:
         "doc_id", F.lit(0).alias("kind"), F.lit(0).alias("pos"), null_int.alias("char_start"), null_int.alias("char_end"), no_path.alias("block_ids"), F.col("doc_title").alias("text"),
         no_path.alias("heading_path"), F.array(F.lit("title")).alias("source_block_types"), F.lit("document_title").alias("unit_type"), F.lit("document_title").alias("source"), no_path.alias("warnings"),
     )
-    sections = _gathered(islands(shaped.where("headed"), ["doc_id"], "order", F.col("heading_path")), ["doc_id", "island"], kind=F.lit(1), unit_type=F.lit("heading_section"), source=F.lit("heading_path_group"))
+    sections = gathered(islands(shaped.where("headed"), ["doc_id"], "order", F.col("heading_path")), ["doc_id", "island"], kind=F.lit(1), unit_type=F.lit("heading_section"), source=F.lit("heading_path_group"))
     flat = shaped.where("not headed")
     small = (F.col("n") <= SMALL_BLOCKS) & (F.col("chars") <= SMALL_CHARS)
-    whole = _gathered(flat.where(small), ["doc_id"], kind=F.lit(1), unit_type=F.lit("fallback_document"), source=F.lit("small_document_without_headings"))
+    whole = gathered(flat.where(small), ["doc_id"], kind=F.lit(1), unit_type=F.lit("fallback_document"), source=F.lit("small_document_without_headings"))
     cut = flat.where(~small).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("order", "block_id", "type", "text", "heading_path", "char_start", "char_end"))).alias("_all"))
     cut = cut.withColumn("_window", greedy_windows(F.transform("_all", lambda b: F.length(b["text"]))))
     cut = cut.select("doc_id", F.explode(F.arrays_zip("_all", "_window")).alias("x")).select("doc_id", F.col("x._window").alias("window"), "x._all.*")
-    windows = _gathered(cut, ["doc_id", "window"], kind=F.lit(1), unit_type=F.lit("paragraph_window"), source=F.lit("paragraph_window")).withColumn("heading_path", no_path)
+    windows = gathered(cut, ["doc_id", "window"], kind=F.lit(1), unit_type=F.lit("paragraph_window"), source=F.lit("paragraph_window")).withColumn("heading_path", no_path)
     whole = whole.withColumn("heading_path", no_path)
     tables = blocks.where((F.col("type") == "table") & (F.length(X.squeeze(F.col("text"))) >= LEAST_TABLE_TEXT))
-    tables = _gathered(tables, ["doc_id", "order"], kind=F.lit(2), unit_type=F.lit("table"), source=F.lit("table_block"))
+    tables = gathered(tables, ["doc_id", "order"], kind=F.lit(2), unit_type=F.lit("table_unit"), source=F.lit("table_block"))
     listed = islands(blocks, ["doc_id"], "order", F.when(F.col("type") == "list_item", F.col("heading_path"))).where("type = 'list_item'")
-    lists = _gathered(listed, ["doc_id", "island"], kind=F.lit(3), unit_type=F.lit("list"), source=F.lit("consecutive_list_items")).where(F.size("block_ids") >= LEAST_LIST)
+    lists = gathered(listed, ["doc_id", "island"], kind=F.lit(3), unit_type=F.lit("list_unit"), source=F.lit("consecutive_list_items")).where(F.size("block_ids") >= LEAST_LIST)
     from_blocks = sections.where("text <> ''").unionByName(whole).unionByName(windows.where("text <> ''")).unionByName(tables).unionByName(lists).withColumn("warnings", no_path)
     empty = titles.where("doc_title = ''").join(shape.select("doc_id"), "doc_id", "left_anti").select(
         "doc_id", F.lit(1).alias("kind"), F.lit(0).alias("pos"), null_int.alias("char_start"), null_int.alias("char_end"), no_path.alias("block_ids"), F.col("plain_text").alias("text"), no_path.alias("heading_path"),

@@ -59,18 +59,23 @@ def warnings_s01(tables: dict[str, DataFrame]) -> Iterator[dict]:
     yield from _found("s01", "documents_normalized", "NoBlocksDocuments", "documents without blocks", tables["documents_normalized"].where("normalization_status = 'no_blocks'"))
 
 
-def check_s02a(tables: dict[str, DataFrame], partial: bool = False) -> Iterator[dict]:
-    """Evidence links, generic primaries, units, coverage of documents."""
+def check_s02a(tables: dict[str, DataFrame], partial: bool = False, report: dict | None = None) -> Iterator[dict]:
+    """Evidence links, generic primaries, units, coverage of documents, the report's figures."""
     before = [x for name in ("topic_units", "tag_candidates", "doc_topics") for x in missing_columns("s02a", name, tables[name])]
     yield from before
     if before:
         return
     found = tables["tag_candidates"]
-    bare = found.where(F.coalesce(F.size("evidence_block_ids"), F.lit(0)) < 1)
+    excused = F.coalesce(F.col("metadata.no_evidence_reason") != "", F.lit(False))
+    bare = found.where((F.coalesce(F.size("evidence_block_ids"), F.lit(0)) < 1) & ~excused)
     yield from _found("s02a", "tag_candidates", "CandidatesMissingEvidence", "candidates without evidence", bare, "candidate_id")
-    generic = found.where((F.col("role") == "document_primary_candidate") & (F.array_contains("warnings", "generic_facet_not_primary") | (F.col("entity_type") == "unknown")))
+    generic = found.where((F.col("role") == "document_primary_candidate") & F.coalesce(F.col("metadata.is_generic"), F.lit(False)))
     yield from _found("s02a", "tag_candidates", "GenericFacetPromotedToPrimary", "generic phrases as primary candidates", generic, "candidate_id")
-    if tables["topic_units"].limit(1).count() == 0 and tables["doc_topics"].limit(1).count():
+    processed = (report or {}).get("processed")
+    rows = tables["doc_topics"].count()
+    if processed is not None and processed != rows:
+        yield _issue("s02a", "doc_topics", "DocTopicCoverageMismatch", f"{rows} summaries, but the report has {processed} documents")
+    if tables["topic_units"].limit(1).count() == 0 and (rows or processed):
         yield _issue("s02a", "topic_units", "EmptyTopicUnits", "no topic units for processed documents")
     if "documents_normalized" in tables and not partial:
         ok = tables["documents_normalized"].where("normalization_status = 'ok'")
@@ -80,14 +85,14 @@ def check_s02a(tables: dict[str, DataFrame], partial: bool = False) -> Iterator[
 CHECKS = {"s00": check_s00, "s01": check_s01, "s02a": check_s02a}
 
 
-def validate(stage: str, tables: dict[str, DataFrame], partial: bool = False) -> dict:
-    """{stage, valid, errors, warnings} of a stage's tables; an unknown stage is invalid."""
+def validate(stage: str, tables: dict[str, DataFrame], partial: bool = False, report: dict | None = None) -> dict:
+    """{stage, valid, missing, errors, warnings, outputs} of a stage's tables; an unknown stage is invalid."""
     name = stage.lower()
     if name not in CHECKS:
-        return {"stage": stage, "valid": False, "errors": [_issue(stage, "", "UnknownStage", f"no such stage: {stage}")], "warnings": []}
-    args = () if name == "s00" else (partial,)
+        return {"stage": stage, "valid": False, "missing": [], "errors": [_issue(stage, "", "UnknownStage", f"no such stage: {stage}")], "warnings": [], "outputs": []}
+    args = {"s00": (), "s01": (partial,), "s02a": (partial, report)}[name]
     found = list(CHECKS[name](tables, *args))
     warned = list(warnings_s01(tables)) if name == "s01" and not found else []
     if partial:
-        warned.append(_issue(name, "", "PartialOutput", "the stage ran on a part of the documents"))
-    return {"stage": name, "valid": not found, "errors": found, "warnings": warned}
+        warned.append(_issue(name, "", "PartialS02AOutput" if name == "s02a" else "PartialOutput", "the stage ran on a part of the documents"))
+    return {"stage": name, "valid": not found, "missing": [], "errors": found, "warnings": warned, "outputs": []}

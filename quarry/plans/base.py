@@ -63,7 +63,7 @@ hashed AS (
   SELECT *, substr(sha256(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '[ \t]+\n', chr(10), 'g'), '^\s+|\s+$', '', 'g')), 1, 24) AS content_hash
   FROM documents
 ), docs AS (
-  SELECT 'doc_' || substr(sha256(CAST(doc_id AS VARCHAR) || content_hash), 1, 20) AS doc_id, CAST(doc_id AS VARCHAR) AS source_id, CAST(doc_id AS INTEGER) AS source_row,
+  SELECT 'doc_' || substr(sha256(CAST(doc_id AS VARCHAR) || content_hash), 1, 20) AS doc_id, CAST(doc_id AS VARCHAR) AS source_id, CAST(doc_id AS BIGINT) AS source_row,
          coalesce(text, '') AS raw, content_hash, CAST(length(coalesce(text, '')) AS INTEGER) AS raw_length,
          regexp_matches(coalesce(text, ''), '<\s*/?\s*[a-zA-Z][^>]*>') AS has_html,
          CASE WHEN regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') = '' THEN 'empty_content' ELSE 'ok' END AS ingest_status

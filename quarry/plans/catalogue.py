@@ -20,6 +20,7 @@ from quarry.operators import candidates as C
 from quarry.operators.surface import classify, parse_surfaces
 from quarry.plans.base import DOCS_SQL, ENGLISH, LINES_SQL, PARTS_SQL, TURNS_SQL, WORKSHOP, documents, normal_sql, pages, table, tagged_parts, turns
 from quarry.plans.stages import normalise, tag
+from quarry.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -198,18 +199,20 @@ def q19_paragraph_windows(spark, sf_dir):
 
 @query(f"""
 WITH {TURNS_SQL} {_RUNS.format(v='path')}, shape AS (SELECT doc_id, bool_or(type = 'heading') AS headed FROM turns GROUP BY doc_id),
-sections AS (SELECT r.doc_id, 1 AS kind, min(ord) AS pos, 'heading_section' AS unit_type, count(*) AS n, string_agg(name, chr(10) ORDER BY ord) AS text FROM runs r JOIN shape USING (doc_id) WHERE headed GROUP BY r.doc_id, island),
+sections AS (SELECT r.doc_id, 1 AS kind, min(ord) AS pos, 'heading_section' AS unit_type, count(*) AS n, string_agg(name, chr(10) ORDER BY ord) AS text, any_value(path) AS path, string_agg('"' || block_id || '"', ', ' ORDER BY ord) AS ids FROM runs r JOIN shape USING (doc_id) WHERE headed GROUP BY r.doc_id, island),
 lmark AS (SELECT *, CASE WHEN lag(CASE WHEN type = 'list_item' THEN path END) OVER w IS NOT DISTINCT FROM CASE WHEN type = 'list_item' THEN path END AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS edge FROM pathed WINDOW w AS (PARTITION BY doc_id ORDER BY ord)),
 lrun AS (SELECT *, sum(edge) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING) AS island FROM lmark),
-lists AS (SELECT doc_id, 3 AS kind, min(ord) AS pos, 'list' AS unit_type, count(*) AS n, string_agg(name, chr(10) ORDER BY ord) AS text FROM lrun WHERE type = 'list_item' GROUP BY doc_id, island HAVING count(*) >= 2),
-every AS (SELECT * FROM sections UNION ALL SELECT * FROM lists)
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY kind, pos) - 1 AS INTEGER) AS unit_index, unit_type, CAST(n AS INTEGER) AS blocks, CAST(length(text) AS INTEGER) AS text_length FROM every
+lists AS (SELECT doc_id, 3 AS kind, min(ord) AS pos, 'list_unit' AS unit_type, count(*) AS n, string_agg(name, chr(10) ORDER BY ord) AS text, any_value(path) AS path, string_agg('"' || block_id || '"', ', ' ORDER BY ord) AS ids FROM lrun WHERE type = 'list_item' GROUP BY doc_id, island HAVING count(*) >= 2),
+every AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY kind, pos) - 1 AS k FROM (SELECT * FROM sections UNION ALL SELECT * FROM lists))
+SELECT doc_id, CAST(k AS INTEGER) AS unit_index, unit_type, CAST(n AS INTEGER) AS blocks, CAST(length(text) AS INTEGER) AS text_length,
+  'tu_' || substr(sha256('{{"block_ids": [' || ids || '], "doc_id": "' || doc_id || '", "text": "' || replace(substr(text, 1, 500), chr(10), '\\n') || '", "title": ' || CASE WHEN path = '' THEN 'null' ELSE '"' || split_part(path, ' > ', -1) || '"' END
+    || ', "unit_index": ' || CAST(k AS VARCHAR) || ', "unit_type": "' || unit_type || '"}}'), 1, 20) AS topic_unit_id FROM every
 """)
 def q20_topic_units(spark, sf_dir):
     rows = B.with_heading_path(turns(spark, sf_dir), ["doc_id"])
     docs = rows.groupBy("doc_id").agg(F.bool_or(F.col("type") == "heading").alias("headed")).where("headed").select("doc_id", F.lit("").alias("title"), F.lit("").alias("plain_text"))
     made = units.topic_units(docs, rows.join(docs.select("doc_id"), "doc_id", "left_semi"))
-    return made.select("doc_id", "unit_index", "unit_type", F.size("block_ids").alias("blocks"), "text_length")
+    return made.select("doc_id", "unit_index", "unit_type", F.size("block_ids").alias("blocks"), "text_length", "topic_unit_id")
 
 
 @query()
@@ -291,12 +294,26 @@ def q27_overlap_dedupe(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT p_brand AS doc_id, split_part(p_name, ' ', 2) AS core, p_type, p_partkey, p_name FROM part)
-SELECT doc_id, core, arg_min(p_name, p_partkey) AS surface, count(*) AS sightings, count(DISTINCT p_type) AS sources FROM s GROUP BY doc_id, core""")
+WITH s AS (SELECT p_brand AS doc_id, split_part(p_name, ' ', 2) AS core, p_type, p_partkey, p_size % 5 AS place FROM part)
+SELECT doc_id, core, min(p_partkey) AS first, CAST(count(DISTINCT CAST(place AS VARCHAR) || p_type) AS INTEGER) AS evidence, CAST(count(DISTINCT p_type) AS INTEGER) AS sources,
+  CAST(count(DISTINCT place) AS INTEGER) AS blocks, arg_min(p_type, p_partkey) AS first_source,
+  CASE WHEN core IN ('anvil', 'gear', 'rod') THEN 'tool' WHEN core IN ('bolt', 'ring') THEN 'fastener' WHEN core = 'plate' THEN 'sheet' ELSE 'gadget' END AS entity_type FROM s GROUP BY doc_id, core""")
 def q28_candidate_merge(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("doc_id"), F.split("p_name", " ")[1].alias("core"), "p_type", "p_partkey", "p_name")
-    merged = p.groupBy("doc_id", "core").agg(F.min_by("p_name", "p_partkey").alias("surface"), F.array_sort(F.collect_list(F.struct("p_partkey", "p_type"))).alias("all"))
-    return merged.select("doc_id", "core", "surface", F.size("all").cast("long").alias("sightings"), F.size(F.array_distinct(F.transform("all", lambda x: x["p_type"]))).cast("long").alias("sources"))
+    """Parts as sightings of their nouns, one unit for each brand."""
+    p, none = table(spark, sf_dir, "part"), F.lit(None)
+    seq = F.struct(F.lit(1).alias("pass"), F.col("p_partkey").alias("pos"), F.lit(0).cast("long").alias("sub"))
+    piece = F.struct(
+        F.concat(F.lit("b"), (F.col("p_size") % 5).cast("string")).alias("block_id"), F.lit("heading").alias("evidence_type"), F.col("p_type").alias("text"), F.array().cast("array<string>").alias("heading_path"),
+        none.cast("int").alias("char_start"), none.cast("int").alias("char_end"), F.lit(0.9).alias("weight"),
+    )
+    seen = p.select(
+        F.col("p_brand").alias("doc_id"), F.concat(F.lit("u-"), "p_brand").alias("topic_unit_id"), seq.alias("seq"), F.split("p_name", " ")[1].alias("value"), F.array("p_type").alias("sources"), piece.alias("evidence"),
+        none.cast("string").alias("g_type"), none.cast("string").alias("g_pattern"), none.cast("double").alias("g_confidence"),
+    )
+    made = seen.select("doc_id", "topic_unit_id").distinct().select("*", F.lit(0).alias("unit_index"), F.lit("").alias("text"))
+    blocks = made.select("doc_id", F.lit("paragraph").alias("type"), "text")
+    merged = C.drafts(seen, made, blocks, WORKSHOP)
+    return merged.select("doc_id", F.col("normalized_surface").alias("core"), F.col("seq.pos").alias("first"), F.size("evidence").alias("evidence"), F.size("sources").alias("sources"), F.size("evidence_block_ids").alias("blocks"), F.col("sources")[0].alias("first_source"), "entity_type")
 
 
 @query(f"""
@@ -438,7 +455,7 @@ def q43_metadata_map(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def q44_dynamic_decode(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "int").alias("k"))
+    return table(spark, sf_dir, "events").select("event_id", files.json_cell(F.col("props"), "$.k", "int").alias("k"))
 
 
 @query("SELECT p_partkey, lower(regexp_replace(p_name || '--' || p_brand, '[^0-9a-zA-Z]+', '-', 'g')) AS slug FROM part")
@@ -476,10 +493,16 @@ def q49_tag_documents(spark, sf_dir):
     return relations.tag_documents(_roled(spark, sf_dir).withColumn("normalized_surface", F.col("core_surface")), names)
 
 
-@query("""SELECT l_orderkey, CAST(len(list_distinct(list(l_returnflag))) AS INTEGER) AS kinds, min(l_linenumber) AS first, max(l_linenumber) AS last FROM lineitem GROUP BY l_orderkey""")
+@query("""SELECT l_orderkey, CAST(len(list_distinct(list(l_returnflag))) AS INTEGER) AS kinds, CAST(min(l_partkey) AS INTEGER) AS first, CAST(max(l_partkey + l_suppkey) AS INTEGER) AS last, CAST(count(*) AS INTEGER) AS blocks,
+  CAST(length(string_agg(l_linestatus || CAST(l_linenumber AS VARCHAR), chr(10))) AS INTEGER) AS text_length FROM lineitem GROUP BY l_orderkey""")
 def q50_unit_spans(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("b"), F.min("l_linenumber").alias("first"), F.max("l_linenumber").alias("last"))
-    return rows.select("l_orderkey", F.size(F.array_distinct(F.transform("b", lambda x: x["l_returnflag"]))).alias("kinds"), "first", "last")
+    """Lines as blocks, an order as a unit."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("order"), F.col("l_returnflag").alias("type"), F.array().cast("array<string>").alias("heading_path"), F.col("l_linenumber").cast("string").alias("block_id"),
+        F.concat("l_linestatus", F.col("l_linenumber").cast("string")).alias("text"), F.col("l_partkey").cast("int").alias("char_start"), (F.col("l_partkey") + F.col("l_suppkey")).cast("int").alias("char_end"),
+    )
+    made = units.gathered(rows, ["doc_id"])
+    return made.select(F.col("doc_id").alias("l_orderkey"), F.size("source_block_types").alias("kinds"), F.col("char_start").alias("first"), F.col("char_end").alias("last"), F.size("block_ids").alias("blocks"), F.length("text").alias("text_length"))
 
 
 @query(r"""SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower(x), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g'), '\s*([:;,.])\s*', '\1 ', 'g'), '\s+', ' ', 'g')) AS surface

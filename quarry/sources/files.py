@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,15 +17,37 @@ from quarry import schemas
 _RAW = "_corrupt_record"
 
 
+#: Fixed value: the longest cell that is read, in characters.
+MOST_CELL = 256 * 1024 * 1024
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV export, read through Spark."""
-    return [c.lstrip("﻿") for c in spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns]
+    return [c.lstrip("\ufeff") for c in spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns]
+
+
+def _beyond(n: int):
+    """The cells of raw CSV records behind the first `n`, as JSON; null where there are none."""
+
+    def cells(raw: pd.Series) -> pd.Series:
+        csv.field_size_limit(MOST_CELL)
+
+        def one(record: str | None) -> str | None:
+            if record is None:
+                return None
+            found = next(csv.reader(io.StringIO(record, newline="")), [])[n:]
+            return json.dumps(found, ensure_ascii=False, separators=(",", ":")) if found else None
+
+        return raw.map(one)
+
+    return F.pandas_udf(cells, "string")
 
 
 def read_csv(spark: SparkSession, path: str, most_chars: int = -1) -> DataFrame:
-    """Rows of an export: all columns strings, empty cells as "", quoted line ends kept, numbered from 1 as source_row.
+    """Rows of an export, a file or a folder of files with one header: all columns strings, empty cells as "", quoted line ends kept.
 
-    Cells beyond the header go to extra_values as JSON; short rows have nulls at their end.
+    Rows are numbered within their file from 1 as source_row. Cells beyond the header, however many, go to extra_values
+    as JSON; short rows have "" at their end.
     """
     names = csv_header(spark, path)
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in names), T.StructField(_RAW, T.StringType())])
@@ -30,11 +55,33 @@ def read_csv(spark: SparkSession, path: str, most_chars: int = -1) -> DataFrame:
         spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE")
         .option("maxCharsPerColumn", most_chars).option("columnNameOfCorruptRecord", _RAW).option("emptyValue", "").csv(path)
     )
-    more = F.from_csv(F.regexp_replace(_RAW, r"[\r\n]+$", ""), F.lit(", ".join(f"c{k} string" for k in range(len(names) + 16))), {"escape": '"', "multiLine": "true", "maxCharsPerColumn": str(most_chars)})
-    extra = F.filter(F.array(*(more[f"c{k}"] for k in range(len(names), len(names) + 16))), lambda c: c.isNotNull())
-    rows = rows.withColumn("extra_values", F.when(F.col(_RAW).isNotNull() & (F.size(extra) > 0), F.to_json(extra)))
-    # a multi-line export is one partition, so ids count its rows
-    return rows.withColumn("source_row", (F.monotonically_increasing_id() + 1).cast("int")).select("source_row", *(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names), "extra_values")
+    # a file of records with line ends is read by one task in its order, so ids count its rows
+    several = len(rows.inputFiles()) > 1
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"))
+    if several:
+        rows = rows.join(rows.groupBy("_file").agg(F.min("_id").alias("_first")), "_file")
+    else:
+        rows = rows.withColumn("_first", F.lit(0))
+    cells = (F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names)
+    return rows.select((F.col("_id") - F.col("_first") + 1).alias("source_row"), *cells, _beyond(len(names))(F.col(_RAW)).alias("extra_values"))
+
+
+def json_cell(cell: Column, path: str, kind: str) -> Column:
+    """A value of a cell that may hold JSON; null where it holds none, or not there."""
+    return F.try_variant_get(F.try_parse_json(cell), path, kind)
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    """One JSON document of any file system."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, on any file system."""
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = held.getFileSystem(spark._jsc.hadoopConfiguration()).create(held, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
 
 
 def read_artifact(spark: SparkSession, path: str, name: str) -> tuple[DataFrame | None, dict | None]:
@@ -54,7 +101,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 def bad_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, value) of the lines that are no JSON, numbered within their file."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("pos", "value"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("pos", "value"))
     return lines.where((F.trim("value") != "") & F.try_parse_json("value").isNull()).select((F.col("pos") + 1).alias("line"), "value")
 
 

@@ -14,25 +14,20 @@ def source_rows(spark: SparkSession, folder: str, schema: str, fmt: str = "parqu
     return spark.readStream.format(fmt).schema(schema).load(folder)
 
 
-def ingest_stream(rows: DataFrame) -> DataFrame:
-    """Documents of a stream of source rows, each doc_id once; the state holds ids within the watermark."""
-    stamped = rows.withColumn("_at", F.current_timestamp()).withWatermark("_at", "1 day")
-    extra = [c for c in rows.columns if c not in ("source_id", "name", "description", "content", "source_row")]
-    docs = ingest.documents(stamped.drop(*extra).withColumn("source_row", F.lit(0)).drop("_at"))
-    return docs
-
-
-def run_incremental(spark: SparkSession, landing: str, schema: str, out: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """Appends documents, normalised documents and blocks of all files not seen before; a batch that is repeated after a failure writes over itself."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        docs = ingest.documents(batch.withColumn("source_row", F.lit(0)) if "source_row" not in batch.columns else batch).dropDuplicates(["doc_id"])
-        docs = docs.persist()
-        try:
-            normalized, blocks = normalise(docs)
-            for name, table in (("documents", docs), ("documents_normalized", normalized), ("blocks", blocks)):
-                table.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
-        finally:
-            docs.unpersist()
-
-    return source_rows(spark, landing, schema, fmt).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingest_stream(rows: DataFrame, remember: str = "1 day") -> DataFrame:
+    """Documents of a stream of source rows, each doc_id once within `remember` of its arrival; the state holds the ids of that time."""
+    docs = ingest.documents(rows if "source_row" in rows.columns else rows.withColumn("source_row", F.lit(0)))
+    return docs.withColumn("_at", F.current_timestamp()).withWatermark("_at", remember).dropDuplicatesWithinWatermark(["doc_id"]).drop("_at")
+
+
+def run_incremental(spark: SparkSession, landing: str, schema: str, out: str, checkpoint: str, fmt: str = "parquet", remember: str = "1 day") -> StreamingQuery:
+    """Appends documents, normalised documents and blocks of all files not seen before, each doc_id once (see ingest_stream); a batch that is repeated after a failure writes over itself."""
+
+    def write(docs: DataFrame, number: int) -> None:
+        docs.write.mode("overwrite").parquet(f"{out}/documents/batch={number}")
+        normalized, blocks = normalise(spark.read.parquet(f"{out}/documents/batch={number}"))
+        for name, table in (("documents_normalized", normalized), ("blocks", blocks)):
+            table.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+
+    docs = ingest_stream(source_rows(spark, landing, schema, fmt), remember)
+    return docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -249,6 +249,112 @@ def test_csv_keeps_lines_quotes_and_empty_cells(spark, tmp_path):
     assert rows[0]["content"] == '<h1>T</h1><p>x, "y"</p>' and rows[1]["content"] == "l1\nl2" and rows[2]["content"] == "" and rows[3]["content"] == ""
 
 
+def test_csv_keeps_all_further_cells(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    path.write_text("name,content\nA,x\n" + "B,y," + ",".join(f"e{k}" for k in range(20)) + '\nC,"z, z","q ""1""\nq2",last\n', encoding="utf-8")
+    rows = files.read_csv(spark, str(path)).collect()
+    assert [json.loads(r["extra_values"]) if r["extra_values"] else None for r in rows] == [None, [f"e{k}" for k in range(20)], ['q "1"\nq2', "last"]]
+
+
+def test_csv_folder_numbers_rows_within_files(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"part{k}.csv").write_text("name,content\n" + "".join(f'f{k},"{j}\n."\n' for j in range(1, 4 + k)), encoding="utf-8")
+    rows = files.read_csv(spark, str(tmp_path)).collect()
+    assert len(rows) == 12 and all(r["content"] == f"{r['source_row']}\n." for r in rows)
+
+
+def test_repeated_documents_are_tagged_once(spark):
+    rows = spark.createDataFrame([(k, "7", "Гастрит: лечение", "Боль.\nКашель.\n- раз\n- два") for k in (1, 2)], "source_row int, source_id string, name string, content string")
+    once, twice = (tag(*normalise(ingest.documents(r))) for r in (rows.where("source_row = 1"), rows))
+    for name in ("units", "candidates", "evidence", "topics"):
+        a, b = (sorted(map(str, getattr(t, name).drop("score_components").collect())) for t in (once, twice))
+        assert a == b and a, name
+
+
+def test_long_documents_take_time_in_proportion(spark):
+    """A document of 100,000 lines: places by running sums, windows one after the other."""
+    n = 100_000
+    docs = made(spark, "\n".join(f"line {k}" + ("\n" if k % 10 == 0 else "") for k in range(n)))
+    normalized, rows = normalise(docs, keep=True)
+    text = normalized.first()["plain_text"]
+    found = rows.select("text", "char_start", "char_end").where("`order` % 1000 = 1").collect()
+    assert len(found) == n // 1000 and all(text[r["char_start"] : r["char_end"]] == r["text"] for r in found)
+    assert units.topic_units(normalized, rows).where("unit_type = 'paragraph_window'").count() == n // 5
+
+
+def test_unit_types_and_title_block_have_their_fixed_names(spark):
+    normalized, rows = normalise(made(spark, "<h1>A</h1><ul><li>one</li><li>two</li></ul><table><tr><th>name</th><th>dose</th></tr></table>", names=["Гастрит"]))
+    out = tag(normalized, rows)
+    assert {r["unit_type"] for r in out.units.collect()} == {"document_title", "heading_section", "table_unit", "list_unit"}
+    assert out.evidence.where("evidence_type = 'title' and block_id <> '__document_title__'").count() == 0 < out.evidence.where("evidence_type = 'title'").count()
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sampled_from(["анализ", "крови", "анализ крови", "общий анализ крови", " ", "-", ".", "Анализ", "ab", "ab ab"]), max_size=12))
+def test_keywords_are_found_as_by_one_expression_each(parts):
+    from quarry.functions import spans
+
+    text = "".join(parts)
+    words = ["анализ", "крови", "анализ крови", "общий анализ крови", "ab", "ab ab"]
+    want = sorted((w, *m.span()) for w in words for m in re.finditer(rf"(?<!\w){re.escape(w)}(?!\w)", text, re.I))
+    assert sorted(spans._Keywords(words).places(text)) == want
+
+
+def test_quotes_in_texts(spark):
+    from quarry.operators import relations
+
+    texts = spark.createDataFrame([(1, "say hello big world now"), (2, "hello bigworld"), (3, None), (4, "xx")], "doc_id int, text string")
+    quotes = spark.createDataFrame([(1, "lo big wor"), (2, "x"), (3, ""), (4, "hello big")], "item_id int, quote string")
+    found = sorted((r["doc_id"], r["item_id"]) for r in relations.quotes_in(texts, quotes).collect())
+    assert found == [(1, 1), (1, 4), (2, 4), (4, 2)]
+
+
+def test_cells_of_old_tables(spark):
+    cells = spark.createDataFrame([("3.0",), ("7",), ("nan",), ("x",), (None,), ('["a", " ", "b"]',)], "c string")
+    got = cells.select(X.to_int(F.col("c"), 0).alias("n"), X.to_int(F.col("c")).alias("m"), X.string_list(F.col("c")).alias("l"), X.optional_string(F.col("c")).alias("s")).collect()
+    assert [r["n"] for r in got] == [3, 7, 0, 0, 0, 0] and [r["m"] for r in got] == [3, 7, None, None, None, None]
+    assert got[5]["l"] == ["a", "b"] and got[3]["l"] == ["x"] and got[4]["s"] is None
+
+
+def test_configuration_folder(tmp_path):
+    folder = tmp_path / "configs" / "tagging"
+    folder.mkdir(parents=True)
+    (folder / "review.yaml").write_text("review_top_k_per_doc: 3\n", encoding="utf-8")
+    (folder / "facet_patterns.yaml").write_text("facets: {colour: [red]}\n", encoding="utf-8")
+    (folder / "scoring.yaml").write_text("primary_min_score: 0.9\n", encoding="utf-8")
+    words = lexicon.Lexicon.read_folder(lexicon.find_folder(str(tmp_path)))
+    assert words.review["top_k"] == 3 and words.review["explosion"] == 200 and words.facets == {"colour": ["red"]}
+    assert words.scoring["primary_min_score"] == 0.9 and words.scoring["components"] == LEX.scoring["components"] and words.entity_types == LEX.entity_types
+
+
+def test_validation_reads_reports_and_outputs(spark, tmp_path):
+    project = Project(spark, str(tmp_path / "root"))
+    project.ingest(write_csv(tmp_path / "in.csv"))
+    assert project.validate("s01")["missing"] and not project.validate("s01")["valid"]
+    project.normalize(limit=1)
+    found = project.validate("s01")
+    assert found["valid"] and {w.get("error", w.get("warning")) for w in found["warnings"]} >= {"PartialOutput", "MissingOptionalQualityReport"}
+    project.normalize(force=True)
+    project.audit_normalized(5)
+    assert project._there(project.report_path("S01_quality_report", "md")) and project._there(project.report_path("S01_sample_index", "md"))
+    project.tag_candidates()
+    report = files.read_json(spark, project.report_path("S02A_tagging_report"))
+    assert report["processed"] == 2 and project.validate("s02a")["valid"]
+    files.write_text(spark, project.report_path("S02A_tagging_report"), json.dumps(report | {"processed": 3}))
+    assert [e["error"] for e in project.validate("s02a")["errors"]] == ["DocTopicCoverageMismatch"]
+    files.write_text(spark, project.report_path("S02A_tagging_report"), "{")
+    assert [e["error"] for e in project.validate("s02a")["errors"]] == ["UnreadableArtifact"]
+    from quarry.operators import validate
+
+    held = {n: project._read(n) for n in ("topic_units", "tag_candidates", "doc_topics")}
+    bare = held["tag_candidates"].withColumn("evidence_block_ids", F.array().cast("array<string>"))
+    assert [e["error"] for e in validate.validate("s02a", held | {"tag_candidates": bare})["errors"]] == ["CandidatesMissingEvidence"]
+    excused = bare.withColumn("metadata", F.col("metadata").withField("no_evidence_reason", F.lit("made by hand")))
+    assert validate.validate("s02a", held | {"tag_candidates": excused})["valid"]
+    generic = held["tag_candidates"].withColumn("metadata", F.col("metadata").withField("is_generic", F.lit(True))).withColumn("role", F.lit("document_primary_candidate"))
+    assert [e["error"] for e in validate.validate("s02a", held | {"tag_candidates": generic})["errors"]] == ["GenericFacetPromotedToPrimary"]
+
+
 def test_project_end_to_end_and_faults(spark, tmp_path):
     project = Project(spark, str(tmp_path / "root"))
     assert project.ingest(write_csv(tmp_path / "in.csv"))["ok_rows"] == 2
@@ -281,6 +387,9 @@ def test_stream_ingests_new_files_once(spark, tmp_path):
     for k in range(2):
         spark.createDataFrame([(str(k), "n", f"text {k}")], schema).write.mode("append").parquet(landing)
         run_incremental(spark, landing, schema, out, str(tmp_path / "checkpoint")).awaitTermination()
+    # a document delivered again in a later file
+    spark.createDataFrame([("0", "n", "text 0")], schema).write.mode("append").parquet(landing)
+    run_incremental(spark, landing, schema, out, str(tmp_path / "checkpoint")).awaitTermination()
     assert spark.read.parquet(f"{out}/documents").count() == 2
     assert {r["text"] for r in spark.read.parquet(f"{out}/blocks").collect()} == {"text 0", "text 1"}
 

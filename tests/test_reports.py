@@ -44,5 +44,6 @@ def test_markdown_round_trip(spark):
 
 def test_command_line(spark, tmp_path, capsys):
     assert main(["--root", str(tmp_path / "none"), "validate-stage", "s01"]) == 1
-    assert "MissingInput" in capsys.readouterr().out
+    said = json.loads(capsys.readouterr().out)
+    assert len(said["missing"]) == 4 and {e["error"] for e in said["errors"]} == {"MissingDependency"}
     assert main(["--root", str(tmp_path / "none"), "status"]) == 0
