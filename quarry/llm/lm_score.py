@@ -23,15 +23,15 @@ MEMBERS = -(-IDS // CLASSES)
 DIM = 16
 #: Tokens seen on each side of the masked one.
 SIDE = 2
-#: In training every MASKED-th token of a text is masked, so that none stands in the window of another.
-MASKED = 3
 #: The rows are dealt into as many rounds; after each the trainers' networks are averaged.
 ROUNDS = 3
 #: Tokens for which there is one trainer: their number depends on the corpus alone.
 TRAINER_TOKENS = 8_000_000
 #: Masked tokens of a training step; tokens that are put together before steps are cut; tokens scored at once.
-STEP, BLOCK, BATCH = 2048, 1 << 16, 8192
+STEP, BLOCK, BATCH = 6144, 1 << 16, 8192
 RATE = 0.1
+#: Logits within this bound need no shift before their exponentials: float32 holds exp(-2 * SAFE) to exp(2 * SAFE).
+SAFE = 40
 #: Distinct words that a task counts before it hands its counts on.
 COUNTED = 400_000
 _CHUNK = 1 << 16
@@ -164,41 +164,51 @@ class WindowNetwork:
         return out
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hidden layer, with a column of ones behind it, and the classes' logits."""
         w = self.weights
         hidden = w["embedding"][0][context[0]]
         for k in range(1, len(context)):
-            hidden = hidden + w["embedding"][k][context[k]]
-        hidden = np.tanh(hidden + w["hidden_bias"])
-        logits = hidden @ w["out"] + w["out_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        return hidden, logits
-
-    def in_class(self, hidden: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each class that stands there: its tokens' rows, their inputs, the members' logits, and which member is the token."""
-        classes = self.tokens.class_of[ids].astype(np.uint16)
-        rows = np.argsort(classes, kind="stable")
-        inputs = np.hstack([hidden, np.ones((len(ids), 1), np.float32)])[rows]
-        own = self.tokens.member_of[ids[rows]]
+            hidden += w["embedding"][k][context[k]]
+        hidden += w["hidden_bias"]
+        inputs = np.ones((len(hidden), DIM + 1), np.float32)
+        np.tanh(hidden, out=inputs[:, :DIM])
+        return inputs, inputs @ np.vstack([w["out"], w["out_bias"]])
+
+    def members(self) -> np.ndarray:
+        """What the inputs are multiplied with for the members' logits, shares included: (CLASSES, MEMBERS, DIM + 1)."""
+        out = self.weights["inner"].copy()
+        out[:, :, DIM] += self.tokens.share
+        return out
+
+    def in_class(self, classes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Class, begin and end of the runs of sorted `classes`."""
         edge = np.r_[0, np.cumsum(np.bincount(classes, minlength=CLASSES))].tolist()
-        for c, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
-            if b > a:
-                logits = inputs[a:b] @ self.weights["inner"][c].T
-                logits += self.tokens.share[c]
-                logits -= logits.max(axis=1, keepdims=True)
-                yield c, rows[a:b], inputs[a:b], logits, own[a:b]
+        return ((c, a, b) for c, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if b > a)
 
     def log_prob(self, ids: np.ndarray, of_text: np.ndarray) -> np.ndarray:
         """log P(id | both sides) at every place."""
         out = np.zeros(len(ids))
+        members = self.members()
+        safe, safe_in = _safe(np.vstack([self.weights["out"], self.weights["out_bias"]]).T), _safe(members)
         for a in range(0, len(ids), BATCH):
-            part = ids[a : a + BATCH]
-            hidden, logits = self.forward(self.contexts(ids, of_text, np.arange(a, a + len(part))))
-            found = out[a : a + BATCH]
-            found[:] = logits[np.arange(len(part)), self.tokens.class_of[part]] - np.log(np.exp(logits).sum(axis=1))
-            for _, rows, _, logits, own in self.in_class(hidden, part):
-                found[rows] += logits[np.arange(len(rows)), own] - np.log(np.exp(logits).sum(axis=1))
+            places, part, classes = self.by_class(ids, np.arange(a, min(a + BATCH, len(ids))))
+            inputs, logits = self.forward(self.contexts(ids, of_text, places))
+            found = logits[np.arange(len(part)), classes]
+            found -= _log_sum(logits, safe)
+            own = self.tokens.member_of[part]
+            for c, x, y in self.in_class(classes):
+                logits = inputs[x:y] @ members[c].T
+                found[x:y] += logits[np.arange(y - x), own[x:y]]
+                found[x:y] -= _log_sum(logits, safe_in[c])
+            out[places] = found
         return out
 
+    def by_class(self, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in the order of their ids' classes, their ids, and the classes."""
+        classes = self.tokens.class_of[ids[places]].astype(np.uint16)
+        order = np.argsort(classes, kind="stable")
+        return places[order], ids[places[order]], classes[order]
+
     def _descend(self, name: str, step: np.ndarray, at=...) -> None:
         squares = self.squares[name][at]
         squares += step * step
@@ -207,35 +217,56 @@ class WindowNetwork:
     def train(self, ids: np.ndarray, of_text: np.ndarray, places: np.ndarray) -> None:
         """One pass over the masked places, STEP at a time."""
         for a in range(0, len(places), STEP):
-            here = places[a : a + STEP]
-            part, around = ids[here], self.contexts(ids, of_text, here)
-            hidden, logits = self.forward(around)
-            p = np.exp(logits)
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(part)), self.tokens.class_of[part]] -= 1
-            p /= len(part)
+            here, part, classes = self.by_class(ids, places[a : a + STEP])
+            around, n = self.contexts(ids, of_text, here), len(here)
+            inputs, p = self.forward(around)
+            hidden = inputs[:, :DIM]
+            p *= 1 / (_exp(p, _safe(np.vstack([self.weights["out"], self.weights["out_bias"]]).T))[0] * n)[:, None]
+            p[np.arange(n), classes] -= 1 / n
             back = p @ self.weights["out"].T
-            for c, rows, inputs, logits, own in self.in_class(hidden, part):
-                q = np.exp(logits, out=logits)
-                q /= q.sum(axis=1, keepdims=True)
-                q[np.arange(len(rows)), own] -= 1
-                q /= len(part)
-                back[rows] += q @ self.weights["inner"][c][:, :DIM]
-                self._descend("inner", q.T @ inputs, c)
+            members = self.members()
+            safe, own, step = _safe(members), self.tokens.member_of[part], np.zeros_like(members)
+            for c, x, y in self.in_class(classes):
+                q = inputs[x:y] @ members[c].T
+                q *= 1 / (_exp(q, safe[c])[0] * n)[:, None]
+                q[np.arange(y - x), own[x:y]] -= 1 / n
+                back[x:y] += q @ self.weights["inner"][c][:, :DIM]
+                np.matmul(q.T, inputs[x:y], out=step[c])
+            self._descend("inner", step)
             back *= 1 - hidden * hidden
             self._descend("out", hidden.T @ p)
             self._descend("out_bias", p.sum(axis=0))
             self._descend("hidden_bias", back.sum(axis=0))
+            flat = back.ravel().astype(np.float64)
             for k, row in enumerate(around):
-                order = np.argsort(row.astype(np.uint16), kind="stable")
-                used = row[order]
-                begin = np.flatnonzero(np.r_[True, used[1:] != used[:-1]])
-                step, used = np.add.reduceat(back[order], begin), used[begin]
+                used = np.flatnonzero(np.bincount(row, minlength=IDS + 1))
+                step = np.bincount((row[:, None] * DIM + np.arange(DIM)).ravel(), weights=flat, minlength=(IDS + 1) * DIM).reshape(-1, DIM)[used].astype(np.float32)
                 squares = self.squares["embedding"][k]
                 squares[used] += (step * step).mean(axis=1)
                 self.weights["embedding"][k][used] -= RATE * step / np.sqrt(squares[used])[:, None]
 
 
+def _safe(rows: np.ndarray) -> np.ndarray:
+    """Whether inputs within 1, the last one 1, times all `rows` stay below SAFE, and times one of them above -SAFE."""
+    most = np.abs(rows[..., :DIM]).sum(axis=-1)
+    return ((rows[..., DIM] + most).max(axis=-1) < SAFE) & ((rows[..., DIM] - most).max(axis=-1) > -SAFE)
+
+
+def _exp(logits: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray | float]:
+    """Turns logits into exponentials, shifted by each row's maximum where they are not safe; their sums, and the shifts."""
+    shift = 0.0
+    if not safe:
+        shift = logits.max(axis=1)
+        logits -= shift[:, None]
+    np.exp(logits, out=logits)
+    return logits @ np.ones(logits.shape[1], np.float32), shift
+
+
+def _log_sum(logits: np.ndarray, safe: bool) -> np.ndarray:
+    sums, shift = _exp(logits, safe)
+    return np.log(sums) + shift
+
+
 def _mean(pdf: pd.DataFrame) -> pd.DataFrame:
     """The mean of some trainers' chunks by masked tokens; in the trainers' order, so that it is the same however they met."""
     pdf = pdf.sort_values("trainer")
@@ -247,7 +278,7 @@ def _mean(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _training_rows(docs: DataFrame, shared, trainers: int) -> DataFrame:
-    """Each document's ids, with its round, its trainer and where its masks begin: by a hash of the row, whatever partition it is in."""
+    """Each document's ids, with its round and its trainer: by a hash of the row, whatever partition it is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shared.value
@@ -255,29 +286,28 @@ def _training_rows(docs: DataFrame, shared, trainers: int) -> DataFrame:
             for a, b, h, bucket, of_text in _pieces(batch):
                 held = tokens.of(h, bucket).astype("<u2").tobytes()
                 ids = [held[2 * x : 2 * y] for x, y in zip(of_text[:-1].tolist(), of_text[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("deal", "round", "trainer", "shift")), pa.array(ids, pa.binary())], ["deal", "round", "trainer", "shift", "ids"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("deal", "round", "trainer")), pa.array(ids, pa.binary())], ["deal", "round", "trainer", "ids"])
 
     deal = F.xxhash64(F.lit(_SEED), "doc_id", "text")
     part = lambda bits, n: F.pmod(F.shiftright("deal", bits), F.lit(n)).cast("int")
-    rows = docs.select("text", deal.alias("deal")).select("text", "deal", part(0, ROUNDS).alias("round"), part(8, trainers).alias("trainer"), part(40, MASKED).alias("shift"))
-    return rows.mapInArrow(run, "deal long, round int, trainer int, shift int, ids binary").where(F.length("ids") > 0)
+    rows = docs.select("text", deal.alias("deal")).select("text", "deal", part(0, ROUNDS).alias("round"), part(8, trainers).alias("trainer"))
+    return rows.mapInArrow(run, "deal long, round int, trainer int, ids binary").where(F.length("ids") > 0)
 
 
 def _trainer(shared):
-    """Trains one network for each trainer, from the shared one, on its rows in order; yields the network in chunks."""
+    """Trains one network for each trainer, from the shared one, on every token of its rows in order; yields the network in chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, state = shared.value
-        trainer, network, held, shifts, size, trained = None, None, [], [], 0, 0
+        trainer, network, held, size, trained = None, None, [], 0, 0
 
         def flush() -> None:
-            nonlocal held, shifts, size, trained
+            nonlocal held, size, trained
             if held:
                 of_text = np.r_[0, np.cumsum([len(x) for x in held])]
-                places = np.concatenate([np.arange(a + s, b, MASKED) for a, b, s in zip(of_text[:-1].tolist(), of_text[1:].tolist(), shifts, strict=True)])
-                network.train(np.concatenate(held).astype(np.int64), of_text, places)
-                trained += len(places)
-            held, shifts, size = [], [], 0
+                network.train(np.concatenate(held).astype(np.int64), of_text, np.arange(size))
+                trained += size
+            held, size = [], 0
 
         def chunks() -> pa.RecordBatch:
             flush()
@@ -286,13 +316,12 @@ def _trainer(shared):
             return pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([trainer] * n, pa.int32()), pa.array([trained] * n, pa.int64()), pa.array(parts, pa.binary())], ["chunk", "trainer", "n", "w"])
 
         for batch in batches:
-            for t, shift, ids in zip(*(batch.column(c).to_pylist() for c in ("trainer", "shift", "ids")), strict=True):
+            for t, ids in zip(*(batch.column(c).to_pylist() for c in ("trainer", "ids")), strict=True):
                 if t != trainer:
                     if network is not None:
                         yield chunks()
                     trainer, network, trained = t, WindowNetwork(tokens, state), 0
                 held.append(np.frombuffer(ids, "<u2"))
-                shifts.append(shift)
                 size += len(held[-1])
                 if size >= BLOCK:
                     flush()
@@ -303,9 +332,9 @@ def _trainer(shared):
 
 
 def train_network(docs: DataFrame, tokens: Tokens) -> WindowNetwork:
-    """Rounds of trainers that start from the last round's mean, each on its own rows; all rows are taken once.
+    """Rounds of trainers that start from the last round's mean, each on its own rows; all rows are taken once, and every token of them is masked once.
 
-    Rounds, trainers and masks come from a hash of each row, and trainers from the number of tokens: the network
+    Rounds and trainers come from a hash of each row, and trainers from the number of tokens: the network
     does not depend on how the rows are partitioned. Equal rows (doc_id and text) meet in one trainer.
     """
     context = docs.sparkSession.sparkContext
@@ -313,8 +342,8 @@ def train_network(docs: DataFrame, tokens: Tokens) -> WindowNetwork:
     rows = written(_training_rows(docs, context.broadcast(tokens), trainers), "lm-ids")
     network, schema = WindowNetwork(tokens), "chunk int, trainer int, n long, w binary"
     for k in range(ROUNDS):
-        mine = rows.where(F.col("round") == k).select("trainer", "deal", "shift", "ids").repartitionById(trainers, F.col("trainer"))
-        parts = mine.sortWithinPartitions("trainer", "deal", "ids").select("trainer", "shift", "ids").mapInArrow(_trainer(context.broadcast((tokens, network.state))), schema)
+        mine = rows.where(F.col("round") == k).select("trainer", "deal", "ids").repartitionById(trainers, F.col("trainer"))
+        parts = mine.sortWithinPartitions("trainer", "deal", "ids").select("trainer", "ids").mapInArrow(_trainer(context.broadcast((tokens, network.state))), schema)
         if trainers > _SALTS:
             parts = parts.groupBy("chunk", F.pmod("trainer", F.lit(_SALTS))).applyInPandas(_mean, schema)
         found = sorted(parts.groupBy("chunk").applyInPandas(_mean, schema).select("chunk", "w").collect(), key=lambda r: r["chunk"])  # one network

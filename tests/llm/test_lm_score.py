@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -125,3 +126,34 @@ def test_words_outside_the_known_have_their_own_share(spark):
     for w, _, p in rank[lm.KNOWN :]:
         once.setdefault((p >> 40) % lm.OTHERS, set()).add(round(log_prob[w], 4))
     assert len(once) > 100 and all(len(v) == 1 for v in once.values())
+
+
+def test_every_token_is_masked_once_in_training(spark, monkeypatch):
+    """Also those of texts of one or two tokens, and of a text longer than a block."""
+    monkeypatch.setattr(lm, "BLOCK", 50)
+    texts = ["a", "a b", "a b c", "a b c d", None, "x " * 301] + ["one two three four five"] * 20
+    tokens = plain_tokens()
+    rows = lm._training_rows(frame(spark, texts), spark.sparkContext.broadcast(tokens), 1).toArrow()
+    trained, train = Counter(), lm.WindowNetwork.train
+
+    def seen(self, ids, of_text, places):
+        assert len(set(places.tolist())) == len(places)
+        trained.update(ids[places].tolist())
+        train(self, ids, of_text, places)
+
+    monkeypatch.setattr(lm.WindowNetwork, "train", seen)
+    out = list(lm._trainer(SimpleNamespace(value=(tokens, None)))(iter(rows.to_batches())))
+    assert trained == Counter(np.frombuffer(b"".join(rows.column("ids").to_pylist()), "<u2").tolist()) and sum(trained.values()) == 1 + 2 + 3 + 4 + 301 + 100
+    assert set(out[-1].column("n").to_pylist()) == {411}
+
+
+@pytest.mark.parametrize("safe", [True, False])
+def test_shifted_and_plain_exponentials_agree(safe):
+    """Logits of large weights are shifted, and their sums stay finite."""
+    rng = np.random.default_rng(4)
+    logits = rng.normal(0, 5, (7, lm.MEMBERS)).astype(np.float32)
+    expected = [math.log(sum(math.exp(x) for x in row)) for row in logits.astype(float).tolist()]
+    assert np.allclose(lm._log_sum(logits.copy(), safe), expected, rtol=1e-5)
+    rows = rng.normal(0, 50, (3, lm.MEMBERS, lm.DIM + 1)).astype(np.float32)
+    assert not lm._safe(rows).any() and lm._safe(rows / 1000).all()
+    assert np.allclose(lm._log_sum(logits * 100, False), (logits * 100).max(axis=1), atol=5)
