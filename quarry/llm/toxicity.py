@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import text_pieces, written
+from quarry.llm.common import small_batches, text_pieces, written
 from quarry.llm.textnp import NOT_ALNUM, Words, buffers
 
 BUCKET_BITS = 18
@@ -201,8 +202,8 @@ def _calibrate(model: ToxicityModel, docs: DataFrame, usable: DataFrame, folds:
             model.thresholds[lang] = float(sigmoid(np.array(_cut(bins[own], labels[own], n[own]) - shift)))
 
 
-def _sample(docs: DataFrame, usable: DataFrame, seed: int) -> list:
-    """Rows (doc_id, toxic, words) to train on: MOST_TOXIC and MOST_CLEAN of each label at most, and of no more words than stated, in the order of a seeded hash. A doc_id that stands several times gives one row."""
+def _sample(docs: DataFrame, usable: DataFrame, seed: int) -> tuple[DataFrame, set[int]]:
+    """Rows (doc_id, toxic, words) to train on, and the labels that they have: MOST_TOXIC and MOST_CLEAN of each label at most, and of no more words than stated, in the order of a seeded hash. A doc_id that stands several times gives one row."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,13 +220,31 @@ def _sample(docs: DataFrame, usable: DataFrame, seed: int) -> list:
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "order").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     rows = written(texts.select("doc_id", "toxic", "order", "text").mapInArrow(features, "doc_id long, toxic int, order long, n long, words binary"), "toxicity-sample")
     sizes = sorted(rows.select("toxic", "order", "doc_id", "n").collect())
-    held, left = [], {1: MOST_TOXIC_WORDS, 0: MOST_CLEAN_WORDS}
+    held, labels, left = [], set(), {1: MOST_TOXIC_WORDS, 0: MOST_CLEAN_WORDS}
     for r in sizes:
         if r["n"] <= left[r["toxic"]]:
             left[r["toxic"]] -= r["n"]
             held.append((r["doc_id"],))
+            labels.add(r["toxic"])
     ids = docs.sparkSession.createDataFrame(held, "doc_id long")
-    return sorted(rows.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "words").collect(), key=lambda r: r["doc_id"])
+    return rows.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "words"), labels
+
+
+def _train_in_task(rows: DataFrame, counts: tuple[int, int], seed: int, epochs: int) -> ToxicityModel:
+    """Trains on the bounded rows of _sample, in the order of their doc_ids, in one task: the driver gets the model and no rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += [np.frombuffer(x, np.uint64) for x in batch.column("words").to_pylist()]
+            labels += batch.column("toxic").to_pylist()
+        if texts:
+            model = train(texts, np.array(labels, np.int64), counts, seed, epochs)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["model"])
+
+    with small_batches(rows.sparkSession):
+        (found,) = rows.repartition(1).sortWithinPartitions("doc_id").select("toxic", "words").mapInArrow(run, "model binary").collect()
+    return pickle.loads(found["model"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 5, epochs: int = EPOCHS) -> ToxicityModel:
@@ -237,12 +256,13 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 5, epoch
     known = labels.select(F.col("doc_id").alias("doc_id"), "toxic").where("toxic in (0, 1)").where(_fold(folds) != 0)
     usable = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     training = usable.where(_fold(folds) != CALIBRATION)
-    rows = _sample(docs, training, seed)
+    rows, sampled = _sample(docs, training, seed)
     n = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(training, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    sampled = np.array([r["toxic"] for r in rows], np.int64)
-    model = train([np.frombuffer(r["words"], np.uint64) for r in rows], sampled, (n.get(0, 0), n.get(1, 0)), seed, epochs)
-    if len(set(sampled.tolist())) == 2:
-        _calibrate(model, docs, usable, folds)
+    counts = (n.get(0, 0), n.get(1, 0))
+    if len(sampled) < 2:  # of no or one label
+        return train([np.zeros(0, np.uint64)] * len(sampled), np.array(sorted(sampled), np.int64), counts, seed, epochs)
+    model = _train_in_task(rows, counts, seed, epochs)
+    _calibrate(model, docs, usable, folds)
     return model
 
 

@@ -1,6 +1,7 @@
 """Near duplicates, repeats, mixing, search, decontamination, toxicity, the pipeline: against brute force."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -392,6 +393,28 @@ def test_toxicity_without_labels(spark):
     assert {r["predicted"] for r in toxicity.toxicity(frame(spark, ["bad words"] * 12), one).collect()} == {0}
 
 
+def test_toxicity_is_trained_in_a_task(spark, monkeypatch):
+    """The driver holds no training rows, and the model is that of the same rows trained here."""
+    texts, labels = toxic_corpus()
+    docs, marked = frame(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int")
+    held, train = [], toxicity.train
+
+    def seen(texts, labels, counts, *more):
+        model = train(texts, labels, counts, *more)
+        model.thresholds["trained in"] = os.getpid()
+        held.append(len(texts))
+        return model
+
+    monkeypatch.setattr(toxicity, "train", seen)
+    model = toxicity.fit(docs, marked, epochs=2)
+    assert model.thresholds["trained in"] != os.getpid() and not held
+    training = marked.where("crc32(cast(doc_id as string)) % 5 > 1")
+    rows = toxicity._sample(docs, training, 5)[0].orderBy("doc_id").collect()
+    y = np.array([r["toxic"] for r in rows])
+    here = train([np.frombuffer(r["words"], np.uint64) for r in rows], y, (int((y == 0).sum()), int(y.sum())), 5, 2)
+    assert len(rows) > 50 and all(np.allclose(getattr(here, x), getattr(model, x), atol=1e-3) for x in ("embedding", "filters", "weights"))
+
+
 def test_toxicity_rows(spark):
     """Repeated and missing doc_ids, very long texts, columns named as the results."""
     texts, labels = toxic_corpus()
