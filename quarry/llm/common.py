@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text handed to numpy at once; one longer text makes a piece of its own.
@@ -30,10 +31,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def trimmed(spark: SparkSession) -> bool:
+    """Hands memory that the driver's JVM has freed outside its heap (compilers, codecs) back to the system; whether this JVM can.
+
+    glibc keeps it in an arena for each thread, where it adds up over many jobs: no limit of the heap bounds it.
+    """
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    try:
+        name, of = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), jvm.java.lang.Class.forName
+        kinds, args = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+        for k, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[k] = of(kind)
+        args[0], args[1], args[2], args[3] = name, "systemTrimNativeHeap", array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0)
+        # by the public interface: the server's own class is closed to reflection
+        of("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:  # another C library or an older JVM
+        return False
+    return True
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder and cut the lineage there; survives the loss of an executor."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    trimmed(df.sparkSession)
+    return done
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -49,6 +71,7 @@ def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.option("compression", compression).parquet(path)
+    trimmed(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from quarry.llm import decontam, minhash, mixing, topk_search, toxicity
+from quarry.llm import common, decontam, minhash, mixing, topk_search, toxicity
 from quarry.llm.components import components
 from quarry.llm.suffix_array import repeated_starts, suffix_order
 from quarry.llm import suffix_dedup
@@ -519,3 +520,22 @@ def test_pipeline_stages(spark, tmp_path):
     assert mixed.columns == docs.columns and ids(mixed) <= ids(kept)
     rows = corpus_pipeline.run(spark, where)
     assert rows.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and rows.count() > 0
+
+
+def test_freed_native_memory_goes_back(spark, monkeypatch):
+    """What the driver's JVM frees outside its heap leaves the process when an intermediate table is written or cut."""
+    jvm = spark._jvm
+
+    def held():
+        return int(re.search(r"RssAnon:\s+(\d+)", Path(f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/status").read_text())[1]) / 1024
+
+    assert common.trimmed(spark)
+    used = [jvm.java.util.zip.Deflater() for _ in range(600)]
+    for k, x in enumerate(used):
+        if k % 20:  # the rest keep the arena from shrinking by itself
+            x.end()
+    before = held()
+    assert common.trimmed(spark) and held() < before - 20
+    calls = []
+    monkeypatch.setattr(common, "trimmed", calls.append)
+    assert common.cut(spark.range(3)).count() == common.written(spark.range(3), "trim").count() == 3 and len(calls) == 2
