@@ -166,9 +166,9 @@ class WindowNetwork:
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The hidden layer, with a column of ones behind it, and the classes' logits."""
         w = self.weights
-        hidden = w["embedding"][0][context[0]]
+        hidden = w["embedding"][0].take(context[0], axis=0)
         for k in range(1, len(context)):
-            hidden += w["embedding"][k][context[k]]
+            hidden += w["embedding"][k].take(context[k], axis=0)
         hidden += w["hidden_bias"]
         inputs = np.ones((len(hidden), DIM + 1), np.float32)
         np.tanh(hidden, out=inputs[:, :DIM])
@@ -209,46 +209,72 @@ class WindowNetwork:
         order = np.argsort(classes, kind="stable")
         return places[order], ids[places[order]], classes[order]
 
-    def _descend(self, name: str, step: np.ndarray, at=...) -> None:
-        squares = self.squares[name][at]
-        squares += step * step
-        self.weights[name][at] -= RATE * step / np.sqrt(squares)
+    def _descend(self, name: str, step: np.ndarray) -> None:
+        """Overwrites `step`."""
+        squares, held = self.squares[name], step * step
+        squares += held
+        np.sqrt(squares, out=held)
+        step *= RATE
+        step /= held
+        self.weights[name] -= step
 
     def train(self, ids: np.ndarray, of_text: np.ndarray, places: np.ndarray) -> None:
         """One pass over the masked places, STEP at a time."""
+        slot, places_in = np.zeros(STEP, np.int64), np.arange(DIM)
         for a in range(0, len(places), STEP):
             here, part, classes = self.by_class(ids, places[a : a + STEP])
             around, n = self.contexts(ids, of_text, here), len(here)
             inputs, p = self.forward(around)
-            hidden = inputs[:, :DIM]
-            p *= 1 / (_exp(p, _safe(np.vstack([self.weights["out"], self.weights["out_bias"]]).T))[0] * n)[:, None]
+            _shares(p, n)
             p[np.arange(n), classes] -= 1 / n
             back = p @ self.weights["out"].T
-            members = self.members()
-            safe, own, step = _safe(members), self.tokens.member_of[part], np.zeros_like(members)
-            for c, x, y in self.in_class(classes):
-                q = inputs[x:y] @ members[c].T
-                q *= 1 / (_exp(q, safe[c])[0] * n)[:, None]
-                q[np.arange(y - x), own[x:y]] -= 1 / n
-                back[x:y] += q @ self.weights["inner"][c][:, :DIM]
-                np.matmul(q.T, inputs[x:y], out=step[c])
+            # one product for each class, all else for all members' logits together
+            members, inner, runs = self.members(), self.weights["inner"], list(self.in_class(classes))
+            q, more, step = np.empty((n, MEMBERS), np.float32), np.empty_like(back), np.zeros_like(members)
+            for c, x, y in runs:
+                np.matmul(inputs[x:y], members[c].T, out=q[x:y])
+            _shares(q, n)
+            q[np.arange(n), self.tokens.member_of[part]] -= 1 / n
+            for c, x, y in runs:
+                mine = q[x:y]
+                np.matmul(mine, inner[c, :, :DIM], out=more[x:y])
+                np.matmul(mine.T, inputs[x:y], out=step[c])
             self._descend("inner", step)
+            back += more
+            hidden = inputs[:, :DIM]
             back *= 1 - hidden * hidden
             self._descend("out", hidden.T @ p)
             self._descend("out_bias", p.sum(axis=0))
             self._descend("hidden_bias", back.sum(axis=0))
             flat = back.ravel().astype(np.float64)
             for k, row in enumerate(around):
-                used = np.flatnonzero(np.bincount(row, minlength=IDS + 1))
-                step = np.bincount((row[:, None] * DIM + np.arange(DIM)).ravel(), weights=flat, minlength=(IDS + 1) * DIM).reshape(-1, DIM)[used].astype(np.float32)
-                squares = self.squares["embedding"][k]
-                squares[used] += (step * step).mean(axis=1)
-                self.weights["embedding"][k][used] -= RATE * step / np.sqrt(squares[used])[:, None]
+                order = np.argsort(row.astype(np.uint16), kind="stable")
+                found = row[order]
+                new = np.r_[True, found[1:] != found[:-1]]
+                used = found[new]
+                slot[order] = np.cumsum(new) - 1  # sums over the rows that occur, not over all ids
+                step = np.bincount((slot[:n, None] * DIM + places_in).ravel(), weights=flat, minlength=len(used) * DIM).reshape(-1, DIM).astype(np.float32)
+                now = self.squares["embedding"][k].take(used) + (step * step).mean(axis=1)
+                self.squares["embedding"][k][used] = now
+                step *= RATE
+                step /= np.sqrt(now)[:, None]
+                rows = self.weights["embedding"][k]
+                rows[used] = rows.take(used, axis=0) - step
+
+
+def _shares(logits: np.ndarray, n: int) -> None:
+    """Turns each row's logits into their softmax over `n`, shifted by its maximum where that is beyond SAFE."""
+    if not (logits.max() < SAFE and logits[:, 0].min() > -SAFE):  # the first place has a member in every class
+        top = logits.max(axis=1)
+        far = np.flatnonzero(np.abs(top) >= SAFE)
+        logits[far] -= top[far, None]
+    sums, _ = _exp(logits, True)
+    logits *= (1 / (sums * n))[:, None]
 
 
 def _safe(rows: np.ndarray) -> np.ndarray:
     """Whether inputs within 1, the last one 1, times all `rows` stay below SAFE, and times one of them above -SAFE."""
-    most = np.abs(rows[..., :DIM]).sum(axis=-1)
+    most = np.abs(rows) @ np.r_[np.ones(DIM, np.float32), np.float32(0)]
     return ((rows[..., DIM] + most).max(axis=-1) < SAFE) & ((rows[..., DIM] - most).max(axis=-1) > -SAFE)
 
 

@@ -157,3 +157,24 @@ def test_shifted_and_plain_exponentials_agree(safe):
     rows = rng.normal(0, 50, (3, lm.MEMBERS, lm.DIM + 1)).astype(np.float32)
     assert not lm._safe(rows).any() and lm._safe(rows / 1000).all()
     assert np.allclose(lm._log_sum(logits * 100, False), (logits * 100).max(axis=1), atol=5)
+
+
+def test_a_step_sums_and_shifts_no_more_than_it_needs(monkeypatch):
+    """A training step sums changes over the ids that occur, not over all, and takes the softmax of all members at once; logits beyond SAFE are shifted."""
+    rng = np.random.default_rng(6)
+    net = lm.WindowNetwork(plain_tokens())
+    ids, calls, wide = rng.integers(0, lm.IDS, 300), [], []
+    exp, bincount = lm._exp, np.bincount
+    monkeypatch.setattr(lm, "_exp", lambda logits, safe: (calls.append(len(logits)), exp(logits, safe))[1])
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: (wide.append(b.get("minlength", 0)), bincount(*a, **b))[1])
+    net.train(ids, np.array([0, 300]), np.arange(300))
+    assert calls == [300, 300] and max(wide) < lm.IDS
+    before = net.weights["embedding"].copy()
+    net.weights["out_bias"][3], net.weights["inner"][:, 0, -1] = 200, -300
+    net.weights["inner"][:, 1, -1] = 150
+    net.train(ids, np.array([0, 300]), np.arange(300))
+    assert np.isfinite(net.state).all() and not np.array_equal(before, net.weights["embedding"])
+    logits = np.array([[-300.0, 150, 149], [1, 2, -np.inf], [-90, -91, -92]], np.float32)
+    expected = [[math.exp(x - max(row)) / sum(math.exp(y - max(row)) for y in row) / 2 for x in row] for row in logits.astype(float).tolist()]
+    lm._shares(logits, 2)
+    assert np.allclose(logits, expected, atol=1e-6)
